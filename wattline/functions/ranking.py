@@ -20,7 +20,7 @@ def ordinal_rank(df: DataFrame, order: Sequence, out: str) -> DataFrame:
     """
     rows = materialize(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
     if rows.count() <= max_group_rows(df.sparkSession):
-        return rows.withColumn(out, F.row_number().over(Window.orderBy("_place"))).drop("_place")
+        return rows.withColumn(out, F.row_number().over(Window.orderBy("_place")).cast("long")).drop("_place")
     rows = rows.withColumn("_part", F.shiftright("_place", 33))
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +70,8 @@ def cap_outliers(
 
 
 def drop_incomplete(df: DataFrame, target: str = TARGET, features: Sequence[str] = FEATURES) -> DataFrame:
-    return df.dropna(subset=[c for c in features if c in df.columns] + [target])
+    """Separate ``IS NOT NULL`` conditions, so that each can be pushed to its table."""
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in [*features, target] if c in df.columns]))
 
 
 def quality_report(df: DataFrame, value: str = TARGET) -> DataFrame:

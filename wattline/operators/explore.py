@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -182,7 +184,8 @@ def correlations(
     All rows count; there is no sampling.
     """
     present = [c for c in columns if c in df.columns]
-    rows = df.dropna(subset=list(required)).select(*[F.col(c).cast("double").alias(c) for c in present])
+    known = reduce(and_, [F.col(c).isNotNull() for c in required])
+    rows = df.where(known).select(*[F.col(c).cast("double").alias(c) for c in present])
     pairs = list(combinations_with_replacement(present, 2))
     wide = rows.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     entries = [(a, b, i) for i, (a, b) in enumerate(pairs)]

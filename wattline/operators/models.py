@@ -85,7 +85,8 @@ def fit_boosted_trees(
         ends = train.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b"))
         border = ends.select(F.col("b") - (F.col("b") - F.col("a")) * cfg.stopping_fraction).scalar()
         rows = train.withColumn("stopping_row", seconds > border)
-        learner = learner.setValidationIndicatorCol("stopping_row").setValidationTol(cfg.stopping_tolerance)
+        learner = learner.setParams(
+            validationIndicatorCol="stopping_row", validationTol=cfg.stopping_tolerance)
     return _fit("boosted_trees", learner, rows, held_out, features, CATEGORICAL)
 
 

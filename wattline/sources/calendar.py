@@ -7,6 +7,9 @@ and year for a fixed span of years, so broadcasting it is always safe.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,105 +28,95 @@ PROCLAIMED = {
            "2011-04-29", "2012-06-04", "2012-06-05", "2022-06-02", "2022-06-03", "2022-09-19", "2023-05-08"],
 }
 
-# Monday of each week, as numbered by Spark's weekday().
-_MON, _THU, _FRI, _SAT, _SUN = 0, 3, 4, 5, 6
+_MON, _THU, _FRI, _SAT = 0, 3, 4, 5
 
 
-def _day(month: int, day: int) -> Column:
-    return F.make_date(F.col("year"), F.lit(month), F.lit(day))
+def _nth(year: int, month: int, weekday: int, nth: int) -> date:
+    first = date(year, month, 1)
+    return first + timedelta((weekday - first.weekday()) % 7 + 7 * (nth - 1))
 
 
-def _nth(weekday: int, nth: int, month: int) -> Column:
-    """The nth given weekday of a month."""
-    first = _day(month, 1)
-    return F.date_add(first, F.pmod(F.lit(weekday) - F.weekday(first), F.lit(7)) + 7 * (nth - 1))
+def _last(year: int, month: int, weekday: int) -> date:
+    end = date(year, month + 1, 1) - timedelta(1)
+    return end - timedelta((end.weekday() - weekday) % 7)
 
 
-def _last(weekday: int, month: int) -> Column:
-    end = F.last_day(_day(month, 1))
-    return F.date_sub(end, F.pmod(F.weekday(end) - F.lit(weekday), F.lit(7)))
+def _easter(year: int) -> date:
+    """Easter Sunday by the anonymous Gregorian rule."""
+    century, moon = year // 100, year % 19
+    epact = (19 * moon + century - century // 4 - (century - (century + 8) // 25 + 1) // 3 + 15) % 30
+    weekday = (32 + 2 * (century % 4) + 2 * (year % 100 // 4) - epact - year % 100 % 4) % 7
+    serial = epact + weekday - 7 * ((moon + 11 * epact + 22 * weekday) // 451) + 114
+    return date(year, serial // 31, serial % 31 + 1)
 
 
-def _easter() -> Column:
-    """Easter Sunday by the anonymous Gregorian rule."""
-    y = F.col("year")
+def _nearest_workday(day: date) -> date:
+    """Saturday moves to Friday, Sunday to Monday."""
+    return day + timedelta({5: -1, 6: 1}.get(day.weekday(), 0))
 
-    def div(a, b):
-        return F.floor(a / b)
 
-    century, moon = div(y, 100), y % 19
-    epact = (19 * moon + century - div(century, 4) - div(century - div(century + 8, 25) + 1, 3) + 15) % 30
-    weekday = (32 + 2 * (century % 4) + 2 * div(y % 100, 4) - epact - (y % 100) % 4) % 7
-    shift = div(moon + 11 * epact + 22 * weekday, 451)
-    serial = epact + weekday - 7 * shift + 114
-    return F.make_date(y, div(serial, 31).cast("int"), (serial % 31 + 1).cast("int"))
+def _next_monday(day: date) -> date:
+    """A weekend day moves to Monday."""
+    return day + timedelta(max(0, 7 - day.weekday())) if day.weekday() >= _SAT else day
 
 
-def _since(year: int, day: Column) -> Column:
-    return F.when(F.col("year") >= year, day)
+def _boxing_days(y: int) -> set[date]:
+    """25 and 26 December; weekend days are made up for on the 27th and 28th."""
+    days = {date(y, 12, 25), date(y, 12, 26)}
+    return days | {d + timedelta(2) for d in days if d.weekday() >= _SAT}
 
 
-def _nearest_workday(day: Column) -> Column:
-    """Saturday moves to Friday, Sunday to Monday."""
-    return F.when(F.weekday(day) == _SAT, F.date_sub(day, 1)).when(F.weekday(day) == _SUN, F.date_add(day, 1))
+def _united_states(y: int) -> set[date]:
+    dated = {date(y, 1, 1), date(y, 7, 4), date(y, 12, 25)}
+    dated |= {date(y, 11, 11)} if y >= 1971 else set()
+    dated |= {date(y, 6, 19)} if y >= 2021 else set()
+    days = dated | {_nearest_workday(d) for d in dated}
+    days |= {_nth(y, 2, _MON, 3), _last(y, 5, _MON), _nth(y, 9, _MON, 1), _nth(y, 10, _MON, 2), _nth(y, 11, _THU, 4)}
+    return days | ({_nth(y, 1, _MON, 3)} if y >= 1986 else set())
 
 
-def _next_monday(day: Column) -> Column:
-    """A weekend day moves to Monday."""
-    return F.when(F.weekday(day) >= _SAT, F.date_add(day, F.lit(7) - F.weekday(day)))
-
-
-def _united_states() -> list[Column]:
-    # New Year's Day on a Saturday is observed on 31 December.
-    dated = [_day(1, 1), _day(7, 4), _since(1971, _day(11, 11)), _day(12, 25), _since(2021, _day(6, 19))]
-    return dated + [_nearest_workday(d) for d in dated] + [
-        _since(1986, _nth(_MON, 3, 1)), _nth(_MON, 3, 2), _last(_MON, 5),
-        _nth(_MON, 1, 9), _nth(_MON, 2, 10), _nth(_THU, 4, 11),
-    ]
-
-
-def _united_kingdom() -> list[Column]:
-    christmas, boxing = _day(12, 25), _day(12, 26)
-    may_day = F.when(F.col("year").isin(1995, 2020), _day(5, 8)).otherwise(_nth(_MON, 1, 5))
-    spring = (
-        F.when(F.col("year") == 2002, _day(6, 4)).when(F.col("year") == 2012, _day(6, 4))
-        .when(F.col("year") == 2022, _day(6, 2)).otherwise(_last(_MON, 5))
-    )
-    return [
-        _since(1974, _day(1, 1)), _since(1974, _next_monday(_day(1, 1))),
-        F.date_sub(_easter(), 2), _since(1978, may_day), spring, christmas, boxing,
-        # Weekend substitutes: 27 and 28 December.
-        F.when(F.weekday(christmas) >= _SAT, _day(12, 27)),
-        F.when(F.weekday(boxing) >= _SAT, _day(12, 28)),
-    ]
-
-
-def _canada() -> list[Column]:
-    dated = [_day(1, 1), _day(7, 1), _day(12, 25)]
-    return dated + [_next_monday(d) for d in dated] + [F.date_sub(_easter(), 2), _nth(_MON, 1, 9)]
-
-
-def _ireland() -> list[Column]:
-    dated = [_day(1, 1), _day(3, 17)]
-    christmas, boxing = _day(12, 25), _day(12, 26)
-    brigid = F.when(F.weekday(_day(2, 1)) == _FRI, _day(2, 1)).otherwise(_nth(_MON, 1, 2))
-    return dated + [_next_monday(d) for d in dated] + [
-        _since(2023, brigid), F.date_add(_easter(), 1), _since(1994, _nth(_MON, 1, 5)), _nth(_MON, 1, 6),
-        _nth(_MON, 1, 8), _since(1977, _last(_MON, 10)), christmas, boxing,
-        F.when(F.weekday(christmas) >= _SAT, _day(12, 27)),
-        F.when(F.weekday(boxing) >= _SAT, _day(12, 28)),
-    ]
+def _united_kingdom(y: int) -> set[date]:
+    days = _boxing_days(y) | {_easter(y) - timedelta(2)}
+    if y >= 1974:
+        days |= {date(y, 1, 1), _next_monday(date(y, 1, 1))}
+    if y >= 1978:
+        days.add(date(y, 5, 8) if y in (1995, 2020) else _nth(y, 5, _MON, 1))
+    if y not in (2002, 2012, 2022):  # moved for the jubilees, see PROCLAIMED
+        days.add(_last(y, 5, _MON))
+    return days
+
+
+def _canada(y: int) -> set[date]:
+    dated = {date(y, 1, 1), date(y, 7, 1), date(y, 12, 25)}
+    return dated | {_next_monday(d) for d in dated} | {_easter(y) - timedelta(2), _nth(y, 9, _MON, 1)}
+
+
+def _ireland(y: int) -> set[date]:
+    dated = {date(y, 1, 1), date(y, 3, 17)}
+    days = dated | {_next_monday(d) for d in dated} | _boxing_days(y)
+    days |= {_easter(y) + timedelta(1), _nth(y, 6, _MON, 1), _nth(y, 8, _MON, 1)}
+    if y >= 1977:
+        days.add(_last(y, 10, _MON))
+    if y >= 1994:
+        days.add(_nth(y, 5, _MON, 1))
+    if y >= 2023:
+        days.add(date(y, 2, 1) if date(y, 2, 1).weekday() == _FRI else _nth(y, 2, _MON, 1))
+    return days
+
+
+RULES = {"US": _united_states, "UK": _united_kingdom, "CA": _canada, "IE": _ireland}
+
+
+@lru_cache(maxsize=1)
+def _listed() -> list[tuple[str, date]]:
+    days = {(c, d) for c, rule in RULES.items() for y in range(FIRST_YEAR, LAST_YEAR + 1) for d in rule(y)}
+    days |= {(c, date.fromisoformat(d)) for c, listed in PROCLAIMED.items() for d in listed}
+    return sorted(days)
 
 
 def holidays(spark: SparkSession) -> DataFrame:
     """``(country, date)``, one row per holiday."""
-    rules = {"US": _united_states(), "UK": _united_kingdom(), "CA": _canada(), "IE": _ireland()}
-    by_rule = spark.range(FIRST_YEAR, LAST_YEAR + 1).select(F.col("id").cast("int").alias("year")).select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("country"), day.alias("date"))
-                           for c, days in rules.items() for day in days])))
-    listed = [(c, d) for c, days in PROCLAIMED.items() for d in days]
-    proclaimed = spark.createDataFrame(listed, "country string, date string").withColumn("date", F.to_date("date"))
-    return by_rule.where(F.col("date").isNotNull()).unionByName(proclaimed).distinct()
+    return spark.createDataFrame(_listed(), "country string, date date")
 
 
 def site_country(site: Column) -> Column:
