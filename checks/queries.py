@@ -795,9 +795,9 @@ def _(spark, sf):
 @check("i4_time_profiles", """
 SELECT 'hour' AS profile, CAST(hour(timestamp) AS INTEGER) AS bucket, CAST(NULL AS INTEGER) AS meter, avg(meter_reading) AS mean_reading
 FROM rd_null GROUP BY 2
-UNION ALL SELECT 'weekday', isodow(timestamp) - 1, NULL, avg(meter_reading) FROM rd_null GROUP BY 2
-UNION ALL SELECT 'month', month(timestamp), NULL, avg(meter_reading) FROM rd_null GROUP BY 2
-UNION ALL SELECT 'hour_by_meter', hour(timestamp), meter, avg(meter_reading) FROM rd_null GROUP BY 2, 3""")
+UNION ALL SELECT 'weekday', CAST(isodow(timestamp) - 1 AS INTEGER), NULL, avg(meter_reading) FROM rd_null GROUP BY 2
+UNION ALL SELECT 'month', CAST(month(timestamp) AS INTEGER), NULL, avg(meter_reading) FROM rd_null GROUP BY 2
+UNION ALL SELECT 'hour_by_meter', CAST(hour(timestamp) AS INTEGER), meter, avg(meter_reading) FROM rd_null GROUP BY 2, 3""")
 def _(spark, sf):
     return explore.time_profiles(null_zero_runs(_rd(spark, sf)))
 

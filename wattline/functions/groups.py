@@ -124,7 +124,7 @@ def as_series(
         long = find_long_groups(df, keys)
     if not long:
         return Series(df, list(keys), order)
-    cut = _cut(df, long, order, before, after)
+    cut = materialize(_cut(df, long, order, before, after))
     rows = (
         df.withColumn("_slot", _slot(order))
         .join(cut, [*keys, "_slot"], "left")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.groups import LongGroups, find_long_groups
 from wattline.schemas import KEYS
+from wattline.session import materialize
 
 COARSE_BINS = 64
 FINE_BINS = 4096
@@ -72,7 +73,8 @@ def _by_counting(df: DataFrame, keys: list[str], probabilities: dict[str, float]
     by = keys or ["_all"]
     if not keys:
         df = df.withColumn("_all", F.lit(0))
-    values = (
+    # Read by all three steps, so it is stored once.
+    values = materialize(
         df.where(F.col("_value").isNotNull())
         .groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_count"))
         .withColumn("_bin", _coarse(F.col("_value")))
@@ -92,12 +94,13 @@ def _by_counting(df: DataFrame, keys: list[str], probabilities: dict[str, float]
         .select(*by, F.inline(ranks))
     )
     carried = ["_name", "_side", "_share"]
-    in_bin = _locate(bins, wanted, by, "_bin", [*carried, "_low", "_high"])
+    in_bin = materialize(_locate(bins, wanted, by, "_bin", [*carried, "_low", "_high"]))
 
     borders = in_bin.select(*by, "_bin", "_low", "_high").distinct()
     fine_values = values.join(borders, [*by, "_bin"]).withColumn("_part", _fine(F.col("_value")))
     parts = fine_values.groupBy(*by, "_bin", "_part").agg(F.sum("_count").alias("_count"))
-    in_part = _locate(parts, in_bin.select(*by, "_bin", *carried, "_rank"), [*by, "_bin"], "_part", carried)
+    in_part = materialize(
+        _locate(parts, in_bin.select(*by, "_bin", *carried, "_rank"), [*by, "_bin"], "_part", carried))
 
     narrowed = fine_values.join(in_part.select(*by, "_bin", "_part").distinct(), [*by, "_bin", "_part"])
     found = _locate(

@@ -84,12 +84,12 @@ def _joined_statistics(
             return rows.join(table, keys, "left")
         return rows.withColumns({c: table.select(c).scalar() for c in table.columns})
 
-    rows = attach(df, group_quantiles(df, value, {"_median": 0.5}, keys, long))
+    rows = attach(df, materialize(group_quantiles(df, value, {"_median": 0.5}, keys, long)))
     deviations = rows.select(*keys, F.abs(v - F.col("_median")).alias("_dev"))
     mads = group_quantiles(deviations, "_dev", {"_mad": 0.5}, keys, long)
     others = rows.groupBy(*keys).agg(
         F.count(v).alias("_n"), _spread(v, F.col("_median"), fallback, lambda agg: agg).alias("_spread"))
-    return attach(attach(rows, mads), others)
+    return attach(attach(rows, materialize(mads)), materialize(others))
 
 
 def flag(df: DataFrame, threshold: float, score: str = "anomaly_score", out: str = "is_anomaly") -> DataFrame:
