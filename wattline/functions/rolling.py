@@ -57,61 +57,72 @@ def frame_plan(widths: Sequence[int]) -> list[tuple[int, list[tuple[int, int]]]]
     return list(steps.items())
 
 
-def _read_frame(value: str, name: str, window: WindowSpec) -> Column:
+# What a summary must carry for each statistic, besides the count.
+_CARRIED = {"mean": {"total"}, "std": {"total", "squares"}, "min": {"low"}, "max": {"high"}}
+
+
+def _read_frame(value: str, carried: set[str], window: WindowSpec) -> Column:
     v = F.col(value)
     count = F.count(v).over(window)
-    return F.struct(
-        count.alias("count"),
-        F.sum(v).over(window).alias("total"),
-        (F.var_pop(v).over(window) * count).alias("squares"),
-        F.min(v).over(window).alias("low"),
-        F.max(v).over(window).alias("high"),
-    ).alias(name)
+    read = {
+        "total": F.sum(v).over(window),
+        "squares": F.var_pop(v).over(window) * count,
+        "low": F.min(v).over(window),
+        "high": F.max(v).over(window),
+    }
+    return F.struct(count.alias("count"), *[c.alias(k) for k, c in read.items() if k in carried])
 
 
-def _merge(df: DataFrame, name: str, parts: list[str]) -> DataFrame:
+def _merge(df: DataFrame, name: str, carried: set[str], parts: list[str]) -> DataFrame:
     """Merge summaries; a missing or empty part adds nothing."""
     counts = [F.coalesce(F.col(p)["count"], F.lit(0)) for p in parts]
-    totals = [F.coalesce(F.col(p)["total"], F.lit(0.0)) for p in parts]
-    df = df.withColumns({f"{name}_count": reduce(add, counts), f"{name}_total": reduce(add, totals)})
-    df = df.withColumn(f"{name}_mean", F.try_divide(f"{name}_total", f"{name}_count"))
-
-    def spread(p: str) -> Column:
-        part = F.col(p)
-        offset = part["total"] / F.nullif(part["count"], F.lit(0)) - F.col(f"{name}_mean")
-        return F.coalesce(part["squares"] + part["count"] * offset * offset, F.lit(0.0))
-
-    return df.withColumn(
-        name,
-        F.struct(
-            F.col(f"{name}_count").alias("count"),
-            F.col(f"{name}_total").alias("total"),
-            reduce(add, [spread(p) for p in parts]).alias("squares"),
-            F.least(*[F.col(p)["low"] for p in parts]).alias("low"),
-            F.greatest(*[F.col(p)["high"] for p in parts]).alias("high"),
-        ),
-    ).drop(f"{name}_count", f"{name}_total", f"{name}_mean")
+    sums = {f"{name}_count": reduce(add, counts)}
+    if "total" in carried:
+        sums[f"{name}_total"] = reduce(add, [F.coalesce(F.col(p)["total"], F.lit(0.0)) for p in parts])
+    df = df.withColumns(sums)
+    merged = {"count": F.col(f"{name}_count")}
+    if "total" in carried:
+        merged["total"] = F.col(f"{name}_total")
+    if "squares" in carried:
+        df = df.withColumn(f"{name}_mean", F.try_divide(f"{name}_total", f"{name}_count"))
+        merged["squares"] = reduce(add, [_squares_about(p, F.col(f"{name}_mean")) for p in parts])
+    if "low" in carried:
+        merged["low"] = F.least(*[F.col(p)["low"] for p in parts])
+    if "high" in carried:
+        merged["high"] = F.greatest(*[F.col(p)["high"] for p in parts])
+    return df.withColumn(name, F.struct(*[c.alias(k) for k, c in merged.items()])).drop(
+        f"{name}_count", f"{name}_total", f"{name}_mean")
+
+
+def _squares_about(part: str, mean: Column) -> Column:
+    p = F.col(part)
+    offset = p["total"] / F.nullif(p["count"], F.lit(0)) - mean
+    return F.coalesce(p["squares"] + p["count"] * offset * offset, F.lit(0.0))
 
 
 def add_frame_summaries(
-    df: DataFrame, value: str, widths: Sequence[int], window: WindowSpec, first: int = 1
+    df: DataFrame, value: str, widths: Sequence[int], window: WindowSpec,
+    first: int = 1, statistics: Sequence[str] = STATISTICS,
 ) -> DataFrame:
     """Add ``_frame_<width>`` summaries of rows ``-(first+width-1) .. -first``.
 
-    ``first=1`` leaves the current row out, ``first=0`` includes it.
+    ``first=1`` leaves the current row out, ``first=0`` includes it. Only what
+    the ``statistics`` need is carried along.
     """
+    carried = set().union(*[_CARRIED[s] for s in statistics])
     steps = frame_plan(widths)
     for width, parts in steps:
         name = f"_frame_{width}"
         if not parts:
-            df = df.withColumn(name, _read_frame(value, name, window.rowsBetween(-(first + width - 1), -first)))
+            frame = window.rowsBetween(-(first + width - 1), -first)
+            df = df.withColumn(name, _read_frame(value, carried, frame))
             continue
         shifted = {
             f"_part_{i}": F.lag(f"_frame_{size}", skip).over(window)
             for i, (size, skip) in enumerate(parts) if skip
         }
         names = [f"_part_{i}" if skip else f"_frame_{size}" for i, (size, skip) in enumerate(parts)]
-        df = _merge(df.withColumns(shifted), name, names).drop(*shifted)
+        df = _merge(df.withColumns(shifted), name, carried, names).drop(*shifted)
     return df.drop(*[f"_frame_{w}" for w, _ in steps if w not in set(widths)])
 
 

@@ -37,7 +37,7 @@ def rolling_step(
     min_count=quarter_full,
     include_current: bool = False,
 ) -> DataFrame:
-    df = add_frame_summaries(df, value, widths, series.window(), first=0 if include_current else 1)
+    df = add_frame_summaries(df, value, widths, series.window(), 0 if include_current else 1, statistics)
     df = df.withColumns({
         f"rolling_{stat}_{width}h": frame_statistic(width, stat, min_count(width))
         for width in widths for stat in statistics

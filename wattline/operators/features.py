@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.config import CleaningSettings, FeatureSettings
 from wattline.functions import scalar as S
 from wattline.functions.groups import LongGroups, as_series, find_long_groups
+from wattline.functions.rolling import STATISTICS
 from wattline.functions.sequence import lag_step, null_zero_runs_step, rolling_step
 from wattline.operators.cleaning import cap_outliers, cap_step
 from wattline.operators.joins import mark_holidays
@@ -86,6 +89,7 @@ def narrow_floats(df: DataFrame) -> DataFrame:
 def add_sequence_features(
     df: DataFrame, cfg: FeatureSettings = FeatureSettings(),
     cleaning: CleaningSettings | None = None, long: LongGroups | None = None,
+    statistics: Sequence[str] = STATISTICS,
 ) -> DataFrame:
     """Lags and rolling statistics, and with ``cleaning`` the caps and outages before them.
 
@@ -106,7 +110,7 @@ def add_sequence_features(
             rows = cap_step(rows, s, cleaning.cap_quantile)
         rows = null_zero_runs_step(rows, s, cleaning.min_zero_streak)
     rows = lag_step(rows, s, cfg.lags)
-    return s.owned(rolling_step(rows, s, cfg.windows))
+    return s.owned(rolling_step(rows, s, cfg.windows, statistics=statistics))
 
 
 def add_row_features(df: DataFrame, cfg: FeatureSettings = FeatureSettings()) -> DataFrame:

@@ -129,7 +129,7 @@ def baseline_audit(
     """
     long = find_long_groups(readings)
     rows = clean_readings(join_buildings(readings, buildings, ["site_id"]), cfg.cleaning)
-    rows = add_sequence_features(rows, cfg.features, cfg.cleaning, long)
+    rows = add_sequence_features(rows, cfg.features, cfg.cleaning, long, statistics=("mean",))
     needed = [f"lag_{n}h" for n in cfg.features.lags] + [f"rolling_mean_{w}h" for w in cfg.features.windows]
     rows = materialize(drop_incomplete(rows, features=needed).select(*KEYS, ORDER, TARGET))
     train, held_out = time_split(rows, cfg.holdout)

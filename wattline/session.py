@@ -23,6 +23,9 @@ def build_session(app_name: str = "wattline", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Wide projections above HotSpot's method limit would run interpreted;
+        # below this size limit Spark splits them into methods it can compile.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
     )
     if master:
