@@ -603,10 +603,12 @@ def _(spark, sf):
 
 
 @check("g3_minimum_rows", "SELECT building_id, meter, event_id, round(anomaly_score, 6) AS anomaly_score FROM ({})".format(
-    Q.scored("(SELECT user_id AS building_id, event_type AS meter, event_id, value FROM events)", "value")))
+    Q.scored("(SELECT user_id AS building_id, event_type AS meter, event_id, CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) AS value "
+    "FROM events)", "value")))
 def _(spark, sf):
     rows = standin.table(spark, sf, "events").select(
-        F.col("user_id").alias("building_id"), F.col("event_type").alias("meter"), "event_id", "value")
+        F.col("user_id").alias("building_id"), F.col("event_type").alias("meter"), "event_id",
+        F.round(F.col("value") * 100).cast("long").cast("double").alias("value"))
     return _rounded(anomaly.modified_zscore(rows, value="value", min_rows=10).drop("value"))
 
 
