@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
@@ -208,7 +209,7 @@ class Pretokens:
         marked = [u[1:] if len(u) > 1 and u[0] == SPACE else self.head + u for u in units]
         skips = [0 if len(u) > 1 and u[0] == SPACE else self.skip for u in units]
         lists = self.lib.encode(marked, num_threads=1)
-        return [np.array(x[n:], "<u4").tobytes() for x, n in zip(lists, skips, strict=True)]
+        return [array("I", x[n:]).tobytes() for x, n in zip(lists, skips, strict=True)]
 
     def all(self, texts: list[str]) -> list[list[str]]:
         """The pre-tokens of every text; afterwards ``memory`` knows all of them."""
