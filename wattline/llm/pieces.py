@@ -154,7 +154,8 @@ class Codec:
             lists = self.lib.encode(texts, add_bos=True, add_eos=True, num_threads=1)
             return [np.array(x, np.uint32) for x in lists]
         first, last = (np.array(x, "<u4").tobytes() for x in ends)
-        memory, cut = self.cuts.memory, self.cuts.all(texts)
+        cut = self.cuts.all(texts)
+        memory = self.cuts.memory
         return [np.frombuffer(b"".join((first, *map(memory.__getitem__, units), last)), "<u4") for units in cut]
 
     def encode(self, texts: list[str]) -> list[Encoding]:
@@ -180,10 +181,11 @@ class Pretokens:
     No piece holds a space mark after another character, and no piece holds certain characters (line feed, tab,
     return) at all: a normalised text may be cut in front of space runs and around those characters. ``whole`` are
     the vocabulary strings that alone encode to one id. ``memory`` has their ids and those of other strings met,
-    which the library merged once each; beyond ``REMEMBERED`` strings it starts afresh.
+    which the library merged once each; beyond ``REMEMBERED`` strings it becomes ``older``, from which strings met
+    again are taken over, and a new one begins.
     """
 
-    REMEMBERED = 300_000
+    REMEMBERED = 250_000
 
     @staticmethod
     def proved(codec: Codec) -> Pretokens | None:
@@ -202,7 +204,7 @@ class Pretokens:
         inside = re.escape("".join(apart))
         self.find = re.compile(f"[{inside}]|{SPACE}*[^{SPACE}{inside}]+|{SPACE}+").findall
         self.whole = {p: ids for p, ids in zip(normal, self._merge(normal), strict=True) if len(ids) == 4}
-        self.memory = dict(self.whole)
+        self.memory, self.older = dict(self.whole), {}
 
     def _merge(self, units: list[str]) -> list[bytes]:
         """Packed ids of each unit. The library puts a space mark in front: units without one get a mark to cut off."""
@@ -215,8 +217,11 @@ class Pretokens:
         """The pre-tokens of every text; afterwards ``memory`` knows all of them."""
         cut = [self.find(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         if len(self.memory) > self.REMEMBERED:
-            self.memory = dict(self.whole)
-        new = list(set(chain.from_iterable(cut)).difference(self.memory))
+            self.memory, self.older = dict(self.whole), self.memory
+        new = set(chain.from_iterable(cut)).difference(self.memory)
+        again = new.intersection(self.older)
+        self.memory.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        new = list(new.difference(again))
         self.memory.update(zip(new, self._merge(new), strict=True))
         return cut
 
