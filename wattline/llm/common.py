@@ -67,7 +67,7 @@ def map_texts(df: DataFrame, column: str, schema: str, make, carry: list[str] |
 def _arrow_schema(schema) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(schema, timezone="UTC")
+    return to_arrow_schema(schema)
 
 
 def labelled_ids(labels: DataFrame, label: str, keep: Column, per_class: int) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattline.llm.common import table
+from wattline.llm.common import in_fold, table
 
 MODEL = "piece_bpe_32k.model"
 
@@ -15,6 +16,14 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op5_language_id import identify, train
+
+    docs, held = table(spark, sf_dir, "documents"), in_fold(F.col("doc_id"), 4, 2)
+    found = identify(docs.select("doc_id", "text"), train(docs, ~held))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "switches")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wattline.llm.op9_token_counts import count_tokens
 
@@ -27,5 +36,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), model_path(), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op9_token_counts, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op5_language_id, op9_token_counts, op10_sentencepiece)}
 ORACLES: dict[str, str] = {}
