@@ -16,6 +16,15 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op3_toxicity import score, train
+
+    docs, held = table(spark, sf_dir, "documents"), in_fold(F.col("doc_id"), 4, 2)
+    model = train(docs, table(spark, sf_dir, "labels"), ~held)
+    found = score(docs.select("doc_id", "text"), model, threshold=0.3)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wattline.llm.op5_language_id import identify, train
 
@@ -24,6 +33,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "switches")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op6_quality import score, train
+
+    docs, held = table(spark, sf_dir, "documents"), in_fold(F.col("doc_id"), 3, 1)
+    model = train(docs, table(spark, sf_dir, "labels"), ~held)
+    return score(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "score", "predicted", "strength")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wattline.llm.op9_token_counts import count_tokens
 
@@ -36,5 +53,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), model_path(), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op5_language_id, op9_token_counts, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op3_toxicity, op5_language_id, op6_quality, op9_token_counts, op10_sentencepiece)}
 ORACLES: dict[str, str] = {}
