@@ -25,6 +25,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op4_html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wattline.llm.op5_language_id import identify, train
 
@@ -41,6 +47,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "score", "predicted", "strength")
 
 
+def op7_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op7_hilbert_ann import search
+
+    found = search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 20 == 0, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wattline.llm.op9_token_counts import count_tokens
 
@@ -53,5 +66,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), model_path(), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op5_language_id, op6_quality, op9_token_counts, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op9_token_counts, op10_sentencepiece)}
 ORACLES: dict[str, str] = {}
