@@ -54,6 +54,13 @@ def op7_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op8_ngram_jaccard import components
+
+    found = components(table(spark, sf_dir, "documents"), "doc_id", "text", percent=90, width=3)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wattline.llm.op9_token_counts import count_tokens
 
@@ -66,5 +73,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), model_path(), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op9_token_counts, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op8_ngram_jaccard, op9_token_counts, op10_sentencepiece)}
 ORACLES: dict[str, str] = {}
