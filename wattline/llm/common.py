@@ -47,16 +47,19 @@ def map_texts(df: DataFrame, column: str, schema: str, make, carry: list[str] |
     from pyspark.sql.types import StructType
 
     carry = [c for c in df.columns if c != column] if carry is None else carry
-    source = df.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{column}`").cast("string").alias("__text"))
+    own = column if column in carry and dict(df.dtypes)[column] == "string" else "__text"
+    source = df.select(*[F.col(f"`{c}`") for c in carry])
+    if own == "__text":
+        source = df.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{column}`").cast("string").alias(own))
     made = StructType.fromDDL(schema)
-    out = StructType(list(source.select(*[F.col(f"`{c}`") for c in carry]).schema.fields) + list(made.fields))
+    out = StructType(list(df.select(*[F.col(f"`{c}`") for c in carry]).schema.fields) + list(made.fields))
     target = _arrow_schema(out)
     names = [f.name for f in made.fields]
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "__text"):
-                columns = make(part.column("__text").to_pylist())
+            for part in text_slices(batch, own):
+                columns = make(part.column(own).to_pylist())
                 arrays = [part.column(c).cast(target.field(c).type) for c in carry]
                 arrays += [pa.array(columns[n], target.field(n).type) for n in names]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)

@@ -16,6 +16,23 @@ def model_path() -> str:
     return public_tokenizers.path(MODEL)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op1_decontamination import find_leaks
+
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    leak = F.col("leak")
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", leak["item_id"].alias("item_id"), leak["start"].alias("start"), leak["end"].alias("end"), leak["edits"].alias("edits")
+    )
+
+
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op2_quotation_links import link_quotes
+
+    found = link_quotes(table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "turn", "role", "text", "reply_to", "place", "n_quoted", "n_linked", "format")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wattline.llm.op3_toxicity import score, train
 
@@ -73,5 +90,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), model_path(), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op8_ngram_jaccard, op9_token_counts, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quotation_links, op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op8_ngram_jaccard, op9_token_counts, op10_sentencepiece)}
 ORACLES: dict[str, str] = {}
