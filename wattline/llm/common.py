@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,19 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 2 << 20
 
 
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver itself found it."""
+    import wattline
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(wattline.__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,6 +59,7 @@ def map_texts(df: DataFrame, column: str, schema: str, make, carry: list[str] |
     """
     from pyspark.sql.types import StructType
 
+    prepare(df.sparkSession)
     carry = [c for c in df.columns if c != column] if carry is None else carry
     own = column if column in carry and dict(df.dtypes)[column] == "string" else "__text"
     source = df.select(*[F.col(f"`{c}`") for c in carry])

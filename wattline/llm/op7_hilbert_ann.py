@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.llm.common import prepare
 from wattline.session import materialize
 
 
@@ -89,8 +90,8 @@ def search(
     blocks: int = 16, reach: int = 1, unit: int = 4096, seed: int = 7,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``id``, ``score``. ``is_query`` is a condition on ``id``."""
+    prepare(df.sparkSession)
     rows = usable(df, key, vector)
-    spark = df.sparkSession
     small = Window.partitionBy("vec").orderBy("id")
     kept = rows.distinct().withColumn("r", F.row_number().over(small)).where(F.col("r") <= k + 1)
     base = kept.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("first", F.col("ids")[0])

@@ -1,11 +1,14 @@
 """Exact n-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
 1. Every text becomes its set of word shingles (64-bit hashes). Texts with equal sets are one row of the matrix.
-2. Rows that can reach the threshold are brought together without comparing pairs. Two sets of at most n shingles with
-   similarity t differ in at most d = (1 - t) / (1 + t) * 2n shingles, so when the shingle space is split into d + 1 parts,
-   one part at least is the same in both. Sets get a signature for each part, at the two size levels they can meet
-   others on. A part that is empty on both sides says nothing; sets with empty parts also get, for each, the first
-   shingles of a fixed order of which two similar sets must share one.
+2. Bounds on sizes discard most rows before any are compared. In one fixed order of all shingles, the c first shingles
+   that two similar sets share stand within the first ``missing + c`` of each, ``missing`` being how many shingles of a
+   set the threshold lets the other lack. A row is kept if enough of its front is also in another row's front.
+   Kept rows are brought together without comparing pairs. Two sets of at most n shingles with similarity t differ in
+   at most d = (1 - t) / (1 + t) * 2n shingles, so when the shingle space is split into d + 1 parts, one part at least is the
+   same in both. Sets get a signature for each part, at the two size levels they can meet others on. A part that is
+   empty on both sides says nothing: there are spare parts for that, and sets with more empty parts than those also get,
+   for each, the shared-front shingles in its place.
    Rows with a common signature belong to one family; families are the connected components of these links.
 3. The rows of a family are cut into blocks of one size level each. For each pair of blocks whose levels permit the
    threshold, a product of the two sparse blocks accumulates the overlap counts, column range by column range; pairs
@@ -96,12 +99,25 @@ class Bound:
             top = self.next_top(top)
         return top
 
-    def parts(self, level: int) -> int:
-        """One more than the shingles in which two linked sets below the level's top can differ."""
-        return 2 * self.top(level) * (100 - self.percent) // (100 + self.percent) + 1
+    def parts(self, level: int) -> tuple[int, int]:
+        """Parts at a level, and how many of them are spare: more than the shingles in which linked sets can differ."""
+        differ = 2 * self.top(level) * (100 - self.percent) // (100 + self.percent)
+        spare = (differ + 1) // 10
+        return differ + 1 + spare, spare
 
-    def prefix(self, n: int) -> int:
-        return n - -(-self.percent * n // 100) + 1
+    def missing(self, n: int) -> int:
+        return n - -(-self.percent * n // 100)
+
+    def common(self, n: int) -> int:
+        """Shingles that the fronts of a set of this size are made to share with any linked set that isn't smaller."""
+        return max(1, n * 8 // 100)
+
+    def front(self, n: int) -> int:
+        return self.missing(n) + self.common(n)
+
+    def needed(self, n: int) -> int:
+        """Shared front shingles of a set that has a link: the other may be the smaller one."""
+        return self.common(-(-self.percent * n // 100))
 
 
 def signatures(own: np.ndarray, bound: Bound) -> np.ndarray:
@@ -111,15 +127,15 @@ def signatures(own: np.ndarray, bound: Bound) -> np.ndarray:
     level, found = bound.level(own.size), []
     spread = scramble(own, MIX3)
     for at in (level, level + 1):
-        k = bound.parts(at)
+        k, spare = bound.parts(at)
         part = ((spread >> S32) * np.uint64(k)) >> S32
         order = np.argsort(part, kind="stable")
         held, begins = np.unique(part[order], return_index=True)
         sums = np.add.reduceat(scramble(own[order], MIX2), begins)
         found.append(scramble(sums + scramble(held + np.uint64(at << 32), MIX1), MIX3))
-        if held.size < k:
+        if k - held.size > spare:
             empty = np.setdiff1d(np.arange(k, dtype=np.uint64), held)
-            first = own[: bound.prefix(own.size)]
+            first = own[: bound.missing(own.size) + 1]
             keys = scramble(empty + np.uint64((1 << 63) + (at << 32)), MIX1)
             found.append(scramble((keys[:, None] + scramble(first, MIX2)[None, :]).ravel(), MIX3))
     return np.unique(np.concatenate(found))
@@ -186,19 +202,39 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
 
     def describe(texts):
         sets = shingle_sets(texts, width)
-        return {"n": [len(s) for s in sets], "level": [bound.level(len(s)) for s in sets], "name": [row_name(s) for s in sets], "signs": [signatures(s, bound).view(np.int64) for s in sets]}
+        fronts = [x[: bound.front(len(x))].view(np.int64) for x in sets]
+        return {"n": [len(x) for x in sets], "name": [row_name(x) for x in sets], "front": fronts, "needed": [bound.needed(len(x)) for x in sets]}
 
-    described = materialize(map_texts(source, "text", "n bigint, level bigint, name binary, signs array<bigint>", describe, ["id"]))
+    described = materialize(map_texts(source, "text", "n bigint, name binary, front array<bigint>, needed bigint", describe, ["id"]))
     rows = described.select("id", "n", "name")
     firsts = materialize(described.where("n > 0").groupBy("name").agg(F.min("id").alias("first")))
     once = described.where("n > 0").join(firsts.select(F.col("first").alias("id"), "name"), ["id", "name"], "left_semi")
-    spread = once.select("id", F.explode("signs").alias("sign"))
+
+    # Fronts are compared by so many leading bits that few differ and agree: agreeing by chance only keeps a row more.
+    total = described.agg(F.sum(F.size("front")).alias("s")).first()["s"] or 1
+    drop = max(0, 64 - max(32, int(total).bit_length() + 7))
+    fronts = once.select("id", "needed", F.explode("front").alias("x")).select("id", "needed", F.shiftright("x", drop).alias("x"))
+    shared = fronts.groupBy("x").agg(F.count("*").alias("c")).where("c > 1").select("x")
+    kept = fronts.join(shared, "x").groupBy("id", "needed").agg(F.count("*").alias("c")).where("c >= needed").select("id")
+    kept = materialize(kept.distinct())
+
+    def sets(texts):
+        found = shingle_sets(texts, width)
+        return {
+            "name": [row_name(x) for x in found], "level": [bound.level(len(x)) for x in found],
+            "signs": [signatures(x, bound).view(np.int64) for x in found], "shingles": [x.tobytes() for x in found],
+        }
+
+    schema = "name binary, level bigint, signs array<bigint>, shingles binary"
+    again = map_texts(source.join(kept, "id"), "text", schema, sets, ["id"]).join(firsts.select(F.col("first").alias("id"), "name"), ["id", "name"], "left_semi")
+    again = materialize(again.dropDuplicates(["id", "name"]))
+    spread = again.select("id", F.explode("signs").alias("sign"))
     met = spread.groupBy("sign").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("sign", "low")
     meets = spread.join(met, "sign").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
     family = materialize(connected_components(meets.distinct()).select(F.col("node").alias("id"), F.col("component").alias("family")))
 
     # Blocks: a family's rows of one size level, dealt out by hash; a block meets those of its level and of the next.
-    sized = once.select("id", "name", "level").join(family, "id")
+    sized = again.select("id", "name", "level").join(family, "id")
     counts = sized.groupBy("family", "level").count().withColumn("cuts", F.ceil(F.col("count") / block))
     cuts = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("level", "cuts"))).alias("cuts"))
     numbers = sized.join(materialize(cuts), "family")
@@ -213,14 +249,7 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     )
     tasks = materialize(numbers.select("id", "name", "family", level.alias("own_level"), own.alias("own_cut"), F.explode(meets).alias("cell")))
 
-    # the sets of families only, made anew from the texts
-    def sets(texts):
-        found = shingle_sets(texts, width)
-        return {"name": [row_name(s) for s in found], "shingles": [s.tobytes() for s in found]}
-
-    members = materialize(sized.select("id").distinct())
-    again = map_texts(source.join(members, "id"), "text", "name binary, shingles binary", sets, ["id"])
-    work = materialize(again.dropDuplicates(["id", "name"])).join(tasks, ["id", "name"])
+    work = again.select("id", "name", "shingles").join(tasks, ["id", "name"])
     work = work.select("id", "shingles", "family", "cell.*", "own_level", "own_cut")
 
     def multiply(part: pa.Table) -> pa.Table:
