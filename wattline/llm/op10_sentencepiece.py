@@ -19,20 +19,26 @@ from wattline.llm.common import map_texts
 from wattline.llm.pieces import codec, read_model
 
 
-def encode(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """All other columns, and arrays ``ids``, ``starts``, ``ends`` (byte spans in the source; begin and end empty)."""
+def encode(df: DataFrame, model_path: str, text: str = "text", spans: bool = False, check: bool = False) -> DataFrame:
+    """All other columns, and ``ids`` with begin and end. ``spans`` adds ``starts`` and ``ends``: byte spans in the
+    source (empty for begin and end); ``check`` adds ``decoded_equal``: whether decoding gives the source again."""
     model = read_model(model_path)
+    schema = "ids array<int>" + ", starts array<int>, ends array<int>" * spans + ", decoded_equal boolean" * check
 
     def make(texts):
-        found = codec(model).encode([t or "" for t in texts])
-        return {
-            "ids": [e.ids for e in found],
-            "starts": [e.starts for e in found],
-            "ends": [e.ends for e in found],
-        }
-
-    rest = [c for c in df.columns if c not in (text, "ids", "starts", "ends")]
-    return map_texts(df, text, "ids array<bigint>, starts array<bigint>, ends array<bigint>", make, rest)
+        own, texts = codec(model), [t or "" for t in texts]
+        lists = own.encode_ids(texts)
+        out = {"ids": lists}
+        if spans:
+            found = [own.align(t, ids) for t, ids in zip(texts, lists, strict=True)]
+            out |= {"starts": [e.starts for e in found], "ends": [e.ends for e in found]}
+        if check:
+            decoded = own.lib.decode([x.tolist() for x in lists])
+            out["decoded_equal"] = [a == b for a, b in zip(decoded, texts, strict=True)]
+        return out
+
+    rest = [c for c in df.columns if c not in (text, "ids", "starts", "ends", "decoded_equal")]
+    return map_texts(df, text, schema, make, rest)
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:

@@ -91,4 +91,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quotation_links, op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op8_ngram_jaccard, op9_token_counts, op10_sentencepiece)}
+#: Most of these are learned, tokenized, aligned or parsed; tests hold them against brute force or exact round trips.
 ORACLES: dict[str, str] = {}
