@@ -11,12 +11,13 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import sql as Q
-from wattline.config import BoosterSettings, Settings
+from wattline.config import AuditSettings, BoosterSettings, Settings
 from wattline.functions.ranking import ordinal_rank
 from wattline.functions.sequence import add_lags, add_rolling, add_run_length, fill_from_neighbours, null_zero_runs
 from wattline.operators import anomaly, audit, cleaning, explore, features, joins, models, split
@@ -38,7 +39,7 @@ class Check:
 
 CHECKS: dict[str, Check] = {}
 SETTINGS = Settings(holdout="INTERVAL 7 DAYS")
-# Small learners: the queries show the operators, not a tuned forecast.
+# Few rounds: what the queries compare doesn't depend on how far a learner is trained.
 SMALL = BoosterSettings(rounds=5, max_depth=4, stopping_fraction=0.1)
 
 
@@ -108,6 +109,39 @@ def _(spark, sf):
     return R.read_table(spark, path, _RAW)
 
 
+@check("a1_read_wide_ids", "SELECT building_id + 40000 AS building_id, meter + 200 AS meter, timestamp, "
+       "CAST(CAST(meter_reading AS FLOAT) AS DOUBLE) AS meter_reading FROM ev")
+def _(spark, sf):
+    rows = standin.event_readings(standin.table(spark, sf, "events")).select(
+        (F.col("building_id") + 40000).alias("building_id"), (F.col("meter") + 200).alias("meter"), ORDER, TARGET)
+    read = R.read_readings(spark, sinks.write_table(rows, _folder(spark)))
+    return read.withColumn(TARGET, F.col(TARGET).cast("double"))
+
+
+@check("a2_read_buildings_csv", """
+SELECT CAST(building_id AS BIGINT) AS building_id, site_id, primary_use, CAST(year_built AS DOUBLE) AS year_built,
+       CAST(building_age AS DOUBLE) AS building_age, round(log_square_feet, 3) AS log_square_feet, primary_use_code FROM described""")
+def _(spark, sf):
+    rows = standin.buildings(spark, sf).withColumn("floor_count", F.lit(None).cast("float"))
+    columns = ["site_id", "building_id", "primary_use", "square_feet", "year_built", "floor_count"]
+    read = R.read_buildings(spark, sinks.write_table(rows.select(columns), _folder(spark)))
+    return read.select(
+        "building_id", "site_id", "primary_use", *[F.col(c).cast("double").alias(c) for c in ("year_built", "building_age")],
+        F.round("log_square_feet", 3).alias("log_square_feet"), "primary_use_code")
+
+
+@check("a3_read_weather_csv", """
+SELECT site_id, timestamp, round(air_temperature, 3) AS air_temperature, round(sea_level_pressure, 3) AS sea_level_pressure,
+       cloud_coverage, precip_depth_1_hr, wind_direction FROM wx_filled""")
+def _(spark, sf):
+    columns = ["site_id", ORDER, "air_temperature", "cloud_coverage", "dew_temperature", "precip_depth_1_hr",
+               "sea_level_pressure", "wind_direction", "wind_speed"]
+    read = R.read_weather(spark, sinks.write_table(standin.weather(spark, sf).select(columns), _folder(spark)))
+    exact = ("cloud_coverage", "precip_depth_1_hr", "wind_direction")
+    return read.select("site_id", ORDER, *[F.round(F.col(c).cast("double"), 3).alias(c) for c in ("air_temperature", "sea_level_pressure")],
+                       *[F.col(c).cast("double").alias(c) for c in exact])
+
+
 @check("a2_read_buildings", """
 SELECT building_id, site_id, primary_use, round(square_feet, 6) AS square_feet, year_built, building_age,
        round(log_square_feet, 6) AS log_square_feet, primary_use_code FROM described""")
@@ -252,9 +286,11 @@ _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in (
     "log_square_feet", "building_age", "site_id", "air_temperature", "dew_temperature", "wind_speed", "cloud_coverage"))
 
 
-@check("b7_drop_incomplete", f"""
-SELECT building_id, meter, timestamp, round(meter_reading, 6) AS meter_reading FROM ({_FEATURE_ROWS}) f
-WHERE {_COMPLETE} AND rolling_mean_24h <> 0""")
+Q.run_tables(f"SELECT building_id, meter, timestamp, meter_reading, lag_24h, site_id FROM ({_FEATURE_ROWS}) f "
+             f"WHERE {_COMPLETE} AND rolling_mean_24h <> 0")
+
+
+@check("b7_drop_incomplete", "SELECT building_id, meter, timestamp, round(meter_reading, 6) AS meter_reading FROM run_rows")
 def _(spark, sf):
     rows = jobs.feature_table(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf), SETTINGS)
     return _rounded(cleaning.drop_incomplete(rows).select(*KEYS, ORDER, TARGET))
@@ -678,38 +714,62 @@ def _modelling(spark, sf, buildings=8):
     return jobs.modelling_rows(rows, _meta(spark, sf), _wx(spark, sf), SETTINGS)
 
 
-def _prediction_rows(forecast):
-    return forecast.predictions.select(*KEYS, ORDER, TARGET, "predicted")
+_HELD = "SELECT building_id, meter, timestamp, round(meter_reading, 6) AS meter_reading, true AS usable FROM run_val"
 
 
-@check("h4_d14_boosted_trees")
+def _usable(forecast):
+    """Held-out rows, and whether each has a prediction that isn't negative."""
+    usable = F.coalesce(F.col("predicted") >= 0, F.lit(False))
+    return _rounded(forecast.predictions.select(*KEYS, ORDER, TARGET, usable.alias("usable")))
+
+
+@check("h4_d14_boosted_trees", _HELD)
 def _(spark, sf):
-    _, train, held_out = _modelling(spark, sf)
-    return _prediction_rows(models.fit_boosted_trees(train, held_out, SMALL))
+    _, train, held_out = _modelling(spark, sf, None)
+    return _usable(models.fit_boosted_trees(train, held_out, SMALL))
 
 
-@check("h5_second_learner")
+@check("h5_second_learner", _HELD)
 def _(spark, sf):
-    _, train, held_out = _modelling(spark, sf)
-    return _prediction_rows(models.fit_forest(train, held_out, SMALL))
+    _, train, held_out = _modelling(spark, sf, None)
+    return _usable(models.fit_forest(train, held_out, SMALL))
+
 
+_METRICS = """SELECT '{name}' AS model, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, count(*) AS n_val,
+                     (SELECT count(*) FROM run_train) AS n_train, true AS scored FROM (SELECT {error} AS e FROM {rows})"""
 
-@check("h6_model_comparison")
+
+@check("h6_model_comparison", " UNION ALL ".join([
+    _METRICS.format(name="meter_mean", error="residual", rows="run_res"),
+    _METRICS.format(name="persistence", error="meter_reading - lag_24h", rows="run_val"),
+    *[f"SELECT '{m}', NULL, NULL, (SELECT count(*) FROM run_val), (SELECT count(*) FROM run_train), true"
+      for m in ("forest", "boosted_trees")]]))
 def _(spark, sf):
-    cfg = replace(SETTINGS, booster=SMALL)
-    return jobs.compare_job(_dense(spark, sf), _meta(spark, sf), _wx(spark, sf), cfg)
+    # The learners' errors have no counterpart in SQL: only that they are there is compared.
+    cfg, base = replace(SETTINGS, booster=SMALL), F.col("model").isin("meter_mean", "persistence")
+    table = jobs.compare_job(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf), cfg)
+    return table.select(
+        "model", *[F.when(base, F.round(c, 4)).alias(c) for c in ("rmse", "mae")], "n_val", "n_train",
+        (F.col("rmse") > 0).alias("scored"))
 
 
-@check("h7_feature_importance")
+@check("h7_feature_importance", f"SELECT {len(FEATURES)} AS n_features, 1.0::DOUBLE AS total, true AS in_order, (SELECT count(*) > 0 FROM run_train) AS fitted")
 def _(spark, sf):
-    _, train, held_out = _modelling(spark, sf)
-    return models.feature_importance(models.fit_boosted_trees(train, held_out, SMALL))
+    _, train, held_out = _modelling(spark, sf, None)
+    table = models.feature_importance(models.fit_boosted_trees(train, held_out, SMALL), top_n=None)
+    return table.agg(
+        F.count("feature").cast("int").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
+        (F.min("importance") >= 0).alias("in_order"), (F.max("importance") > 0).alias("fitted"))
 
 
-@check("h8_site_models")
+@check("h8_site_models", """
+SELECT site_id, CASE WHEN n_train >= 100 AND COALESCE(n_val, 0) >= 10 THEN 'ok' ELSE 'skipped' END AS status, n_train, COALESCE(n_val, 0) AS n_val
+FROM (SELECT site_id, count(*) AS n_train FROM run_train GROUP BY 1)
+LEFT JOIN (SELECT site_id, count(*) AS n_val FROM run_val GROUP BY 1) USING (site_id)""")
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    return models.fit_site_models(train, held_out, replace(SMALL, rounds=2, stopping_fraction=0.0))
+    table = models.fit_site_models(train, held_out, replace(SMALL, rounds=2, stopping_fraction=0.0))
+    return table.select("site_id", "status", "n_train", "n_val")
 
 
 @check("h8_site_lines", f"""
@@ -727,18 +787,23 @@ def _(spark, sf):
     return _rounded(models.fit_site_lines(train, held_out).select(*KEYS, ORDER, "predicted"), 4)
 
 
-@check("h11_step_size_search")
+@check("h11_step_size_search", "SELECT 3::BIGINT AS n_tried, true AS in_bounds, true AS best_first, (SELECT count(*) > 0 FROM run_val) AS scored")
 def _(spark, sf):
-    _, train, held_out = _modelling(spark, sf)
-    return models.search_step_size(train, held_out, replace(SMALL, rounds=3), evaluations=3)[1]
+    _, train, held_out = _modelling(spark, sf, None)
+    best, table = models.search_step_size(train, held_out, replace(SMALL, rounds=3), evaluations=3)
+    step = F.col("step_size")
+    return table.agg(
+        F.count("step_size").alias("n_tried"), F.min((step >= 0.005) & (step <= 0.3)).alias("in_bounds"),
+        (F.min_by("step_size", "rmse") == best).alias("best_first"), F.min(F.col("rmse") > 0).alias("scored"))
 
 
-@check("h12_a12_saved_model")
+@check("h12_a12_saved_model", "SELECT building_id, meter, timestamp, true AS same FROM run_val")
 def _(spark, sf):
-    _, train, held_out = _modelling(spark, sf)
+    _, train, held_out = _modelling(spark, sf, None)
     forecast = models.fit_boosted_trees(train, held_out, SMALL)
     loaded = sinks.load_model(sinks.save_model(forecast.model, _folder(spark)))
-    return loaded.transform(held_out).select(*KEYS, ORDER, F.greatest("prediction", F.lit(0.0)).alias("predicted"))
+    again = loaded.transform(forecast.predictions).withColumn("again", F.greatest("prediction", F.lit(0.0)))
+    return again.select(*KEYS, ORDER, F.col("again").eqNullSafe(F.col("predicted")).alias("same"))
 
 
 @check("h13_audit_list", Q.audit("audit_rows"))
@@ -874,9 +939,16 @@ def _(spark, sf):
         joins.join_buildings(null_zero_runs(_rd(spark, sf)), _meta(spark, sf), ["site_id"])))
 
 
-@check("i10_prediction_sample")
+@check("i10_prediction_sample", """
+SELECT building_id, meter, timestamp, meter_reading, round(predicted, 6) AS predicted FROM mean_forecast
+ORDER BY md5(concat_ws('|', building_id, meter, timestamp)), building_id, meter, timestamp LIMIT 1000""")
 def _(spark, sf):
-    return explore.prediction_sample(_forecast(spark, sf), 5000)
+    return _rounded(explore.prediction_sample(_forecast(spark, sf), 1000))
+
+
+@check("i10_residual_summary", "SELECT count(residual) AS n, round(avg(residual), 6) AS mean_residual FROM residuals")
+def _(spark, sf):
+    return _rounded(explore.residual_summary(_forecast(spark, sf)))
 
 
 @check("i10_residual_histogram", f"""
@@ -964,10 +1036,63 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return _audit_columns(jobs.baseline_audit(_dense(spark, sf), _meta(spark, sf), SETTINGS))
 
 
-@check("p1_audit_run_boosted")
+def _mean_model(train, held_out, cfg):
+    return models.Forecast("meter_mean", split.predict_group_mean(train, held_out), PipelineModel([]), list(FEATURES), 0.0)
+
+
+def _full_run(spark, sf):
+    """The whole job with a forecast that SQL can follow, and the folder of its files."""
+    out = _folder(spark)
+    return out, jobs.audit_job(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf), out, replace(SETTINGS, audit=AuditSettings(min_hours=24)), fit=_mean_model)
+
+
+@check("p1_full_run_audit", Q.audit("run_audit_rows"))
+def _(spark, sf):
+    return _audit_columns(_full_run(spark, sf)[1].audit)
+
+
+@check("p1_full_run_sites", """
+SELECT site_id, count(*) AS n_anomalies, round(avg(abs(anomaly_score)), 6) AS mean_severity,
+       round(sum(abs(anomaly_score)), 3) AS cumulative_severity FROM run_detected WHERE is_anomaly = 1 GROUP BY 1""")
+def _(spark, sf):
+    return _rounded(_full_run(spark, sf)[1].sites, cumulative_severity=3)
+
+
+@check("p1_full_run_predictions", """
+SELECT building_id, meter, timestamp, round(meter_reading, 3) AS meter_reading, round(meter_reading - residual, 3) AS predicted FROM run_res""")
+def _(spark, sf):
+    out, _ = _full_run(spark, sf)
+    schema = T.StructType([*_RAW.fields, T.StructField("predicted", T.DoubleType()), T.StructField("residual", T.DoubleType())])
+    return _rounded(R.read_table(spark, f"{out}/predictions", schema).drop("residual"), 3)
+
+
+@check("p1_full_run_summary", f"""
+SELECT (SELECT count(*) FROM run_rows) AS modelled, (SELECT count(*) FROM run_train) AS train_rows,
+       (SELECT count(*) FROM run_val) AS val_rows, {len(FEATURES)}::BIGINT AS n_features,
+       (SELECT round(sqrt(avg(residual * residual)), 4) FROM run_res) AS rmse,
+       (SELECT round(sqrt(avg(pow(meter_reading - lag_24h, 2))), 4) FROM run_val) AS persistence_rmse,
+       (SELECT CAST(sum(is_anomaly) AS BIGINT) FROM run_detected) AS flagged, (SELECT count(*) FROM run_audit_rows) AS entries""")
 def _(spark, sf):
-    cfg = replace(SETTINGS, booster=SMALL)
-    return jobs.audit_job(_dense(spark, sf), _meta(spark, sf), _wx(spark, sf), _folder(spark), cfg).audit
+    out, _ = _full_run(spark, sf)
+    s = spark.read.json(f"{out}/summary")
+    return s.select(
+        F.col("rows.modelled").alias("modelled"), "train_rows", "val_rows", "n_features", F.round("model.rmse", 4).alias("rmse"),
+        F.round("persistence.rmse", 4).alias("persistence_rmse"), F.col("anomalies.anomalies_flagged").alias("flagged"),
+        F.col("audit_entries.meters").alias("entries"))
+
+
+@check("k6_other_scorer", """
+SELECT building_id, meter, timestamp, round(z, 6) AS anomaly_score, CASE WHEN abs(z) > 3.5 THEN 1 ELSE 0 END AS is_anomaly
+FROM (SELECT *, COALESCE((residual - avg(residual) OVER g) / nullif(stddev_pop(residual) OVER g, 0), 0.0) AS z
+      FROM residuals WINDOW g AS (PARTITION BY building_id, meter))""")
+def _(spark, sf):
+    def plain(df, value, out, **_):
+        group = Window.partitionBy(*KEYS)
+        centred = F.col(value) - F.avg(value).over(group)
+        return df.withColumn(out, F.coalesce(centred / F.nullif(F.stddev_pop(value).over(group), F.lit(0.0)), F.lit(0.0)))
+
+    found = anomaly.detect_anomalies(_forecast(spark, sf), scorer=plain)
+    return _rounded(found.select(*KEYS, ORDER, "anomaly_score", "is_anomaly"))
 
 
 @check("p2_quality", _QUALITY)

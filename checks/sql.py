@@ -225,6 +225,15 @@ TABLES["flag_audit_rows"] = AUDIT.format(summary="flag_summary", hours=100)
 _ORDER = list(TABLES)
 
 
+def run_tables(rows: str) -> None:
+    """Register the tables of a whole run, from its complete feature rows to the audit list."""
+    TABLES["run_rows"] = rows
+    for name in ("val", "train", "res", "flags", "detected", "summary"):
+        TABLES[f"run_{name}"] = TABLES[f"flag_{name}"].replace("flag_", "run_")
+    TABLES["run_audit_rows"] = AUDIT.format(summary="run_summary", hours=24)
+    _ORDER[:] = list(TABLES)
+
+
 def audit(rows: str) -> str:
     shares = " + ".join(
         f"CASE WHEN max({c}) OVER () > 0 THEN {c} / max({c}) OVER () ELSE 0.0 END * {w}"

@@ -1,7 +1,7 @@
 """Splitting a series must never change a result."""
 
 import pytest
-from helpers import assert_same, frame, readings, uneven
+from helpers import assert_same, column, frame, hours, readings, uneven
 from pyspark.sql import functions as F
 
 from wattline.config import CleaningSettings, FeatureSettings
@@ -18,8 +18,9 @@ WHOLE = LongGroups(("building_id", "meter"), 10**9, None)
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    df = readings(spark, uneven()).withColumn("flag", (F.col("meter_reading") == 0).cast("int")).fillna(0, ["flag"])
-    return df.cache()
+    """Meters of uneven length; one long one has no building id, flags are missing where readings are."""
+    df = readings(spark, uneven()).withColumn("building_id", F.when(F.col("building_id") != 2, F.col("building_id")))
+    return df.withColumn("flag", (F.col("meter_reading") == 0).cast("int")).cache()
 
 
 @pytest.mark.parametrize("operator", [
@@ -42,7 +43,7 @@ def test_split_equals_whole(rows, small_groups, operator):
 
 
 def test_only_long_groups_are_reported(rows, small_groups):
-    assert sorted(r.building_id for r in find_long_groups(rows).keys_table.collect()) == [1, 2]
+    assert {r.building_id for r in find_long_groups(rows).keys_table.collect()} == {1, None}
     assert not find_long_groups(rows, limit=10_000)
 
 
@@ -61,3 +62,24 @@ def test_distributed_rank(rows, small_groups):
     assert list(ranked["rank"]) == list(range(1, len(ranked) + 1))
     known = ranked["meter_reading"].dropna()
     assert (known.diff().dropna() <= 0).all()
+
+
+def test_a_missing_key_is_a_group_both_ways(spark, small_groups):
+    rows = readings(spark, [(None, 0, t, float(i)) for i, (_, _, t, _) in enumerate(hours(range(100)))])
+    for df in (cap_outliers(rows, 0.5), cap_outliers(rows, 0.5, long=WHOLE)):
+        assert frame(df)["meter_reading"].max() == 49.5
+
+
+def test_one_value_in_a_long_group(spark, small_groups):
+    """All ranks in one bin of equal values."""
+    rows = readings(spark, hours([7.0] * 300))
+    assert_same(modified_zscore(rows, value="meter_reading"), modified_zscore(rows, value="meter_reading", long=WHOLE))
+
+
+@pytest.mark.parametrize("limit", ["40", "2"])
+def test_a_missing_flag_ends_a_run(spark, limit):
+    spark.conf.set("spark.wattline.maxGroupRows", limit)
+    rows = readings(spark, hours([1, 1, None, 1, 1, 1, 0, None, None, 1]))
+    found = column(add_run_length(rows.withColumnRenamed("meter_reading", "flag"), "flag", "run"), "run")
+    spark.conf.unset("spark.wattline.maxGroupRows")
+    assert found == [2, 2, 0, 3, 3, 3, 0, 0, 0, 1]

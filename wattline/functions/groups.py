@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -23,6 +25,13 @@ SEGMENT = "_segment"
 _OWNER = "_owner"
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group keys as windows and aggregates group them: a missing key equals a missing key."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 @dataclass(frozen=True)
 class LongGroups:
     """The groups above the row limit; ``keys_table`` is None when there are none."""
@@ -88,7 +97,7 @@ def _cut(df: DataFrame, long: LongGroups, order: str, before: int, after: int) -
     """
     keys = list(long.keys)
     days = (
-        df.join(long.keys_table, keys, "left_semi")
+        join_groups(df, long.keys_table, keys, "left_semi")
         .groupBy(*keys, _slot(order).alias("_slot"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
@@ -126,8 +135,7 @@ def as_series(
         return Series(df, list(keys), order)
     cut = materialize(_cut(df, long, order, before, after))
     rows = (
-        df.withColumn("_slot", _slot(order))
-        .join(cut, [*keys, "_slot"], "left")
+        join_groups(df.withColumn("_slot", _slot(order)), cut, [*keys, "_slot"], "left")
         .withColumn(_OWNER, F.coalesce(_OWNER, F.lit(0)))
         .withColumn(
             SEGMENT,

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.groups import LongGroups, find_long_groups
+from wattline.functions.groups import LongGroups, find_long_groups, join_groups
 from wattline.schemas import KEYS
 from wattline.session import materialize
 
@@ -35,8 +35,8 @@ def group_quantiles(
         return _direct(df, keys, probabilities)
     if not keys:
         return _by_counting(df, keys, probabilities)
-    short = _direct(df.join(long.keys_table, keys, "left_anti"), keys, probabilities)
-    return short.unionByName(_by_counting(df.join(long.keys_table, keys, "left_semi"), keys, probabilities))
+    short = _direct(join_groups(df, long.keys_table, keys, "left_anti"), keys, probabilities)
+    return short.unionByName(_by_counting(join_groups(df, long.keys_table, keys, "left_semi"), keys, probabilities))
 
 
 def _direct(df: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
@@ -64,7 +64,7 @@ def _locate(counts: DataFrame, wanted: DataFrame, by: list[str], step: str, kept
         F.coalesce(F.sum("_count").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
     inside = (F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_count"))
-    return wanted.join(counts, by).where(inside).select(
+    return join_groups(wanted, counts, by).where(inside).select(
         *by, step, *kept, (F.col("_rank") - F.col("_below")).alias("_rank"))
 
 
@@ -97,12 +97,12 @@ def _by_counting(df: DataFrame, keys: list[str], probabilities: dict[str, float]
     in_bin = materialize(_locate(bins, wanted, by, "_bin", [*carried, "_low", "_high"]))
 
     borders = in_bin.select(*by, "_bin", "_low", "_high").distinct()
-    fine_values = values.join(borders, [*by, "_bin"]).withColumn("_part", _fine(F.col("_value")))
+    fine_values = join_groups(values, borders, [*by, "_bin"]).withColumn("_part", _fine(F.col("_value")))
     parts = fine_values.groupBy(*by, "_bin", "_part").agg(F.sum("_count").alias("_count"))
     in_part = materialize(
         _locate(parts, in_bin.select(*by, "_bin", *carried, "_rank"), [*by, "_bin"], "_part", carried))
 
-    narrowed = fine_values.join(in_part.select(*by, "_bin", "_part").distinct(), [*by, "_bin", "_part"])
+    narrowed = join_groups(fine_values, in_part.select(*by, "_bin", "_part").distinct(), [*by, "_bin", "_part"])
     found = _locate(
         narrowed.select(*by, "_bin", "_part", "_value", "_count"), in_part,
         [*by, "_bin", "_part"], "_value", carried)

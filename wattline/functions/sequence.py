@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.groups import SEGMENT, LongGroups, Series, as_series
+from wattline.functions.groups import SEGMENT, LongGroups, Series, as_series, join_groups
 from wattline.functions.rolling import STATISTICS, add_frame_summaries, frame_statistic
 from wattline.schemas import KEYS, ORDER, TARGET
 
@@ -48,8 +48,8 @@ def rolling_step(
 def null_zero_runs_step(df: DataFrame, series: Series, min_length: int, value: str = TARGET) -> DataFrame:
     """Null zeros in runs of at least ``min_length`` rows; a null reading ends a run.
 
-    Rows between two non-zero readings share a break number. Ordering the next
-    windows by (break number, time) keeps one sort for everything that follows.
+    Rows between two non-zero readings share a break number, which the run's
+    length is counted by; that takes a second sort inside the same partitioning.
     """
     is_zero = F.coalesce(F.col(value) == 0, F.lit(False))
     df = df.withColumn("_zero", is_zero.cast("int"))
@@ -97,11 +97,15 @@ def add_run_length(
     df: DataFrame, flag: str, out: str,
     long: LongGroups | None = None, keys: Sequence[str] = KEYS, order: str = ORDER,
 ) -> DataFrame:
-    """Length of the run of equal flags a row belongs to; 0 where the flag is 0."""
+    """Length of the run of equal flags a row belongs to; 0 where the flag is 0 or missing.
+
+    A missing flag ends a run.
+    """
     s = as_series(df, long, keys, order)
     w = s.window()
-    changed = F.coalesce((F.col(flag) != F.lag(flag).over(w)).cast("int"), F.lit(0))
-    rows = s.rows.withColumn("_changed", changed)
+    before = F.lag(F.struct(F.col(flag).alias("flag"))).over(w)
+    changed = before.isNotNull() & ~F.col(flag).eqNullSafe(before["flag"])
+    rows = s.rows.withColumn("_changed", changed.cast("int"))
     rows = rows.withColumn("_run", F.sum("_changed").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     run = Window.partitionBy(*s.keys, "_run").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
@@ -146,7 +150,7 @@ def _join_runs(rows: DataFrame, flag: str, keys: list[str]) -> DataFrame:
         .when(F.col("_run") == F.col("_last"), F.col("_tail"))
         .otherwise(F.col("_length"))
     )
-    return rows.join(totals, [*keys, SEGMENT], "left").withColumn("_length", length).drop("_head", "_tail", "_last")
+    return join_groups(rows, totals, [*keys, SEGMENT], "left").withColumn("_length", length).drop("_head", "_tail", "_last")
 
 
 def fill_from_neighbours(
@@ -181,5 +185,5 @@ def fill_from_neighbours(
         for c in columns
     ])
     rows = s.rows.withColumns({c: F.last(c, ignorenulls=True).over(past) for c in columns})
-    rows = rows.join(carried, [*keys, SEGMENT], "left").withColumns({c: F.coalesce(c, f"_carry_{c}") for c in columns})
+    rows = join_groups(rows, carried, [*keys, SEGMENT], "left").withColumns({c: F.coalesce(c, f"_carry_{c}") for c in columns})
     return s.owned(rows.drop(*[f"_carry_{c}" for c in columns]))

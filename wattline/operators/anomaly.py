@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.config import AnomalySettings
-from wattline.functions.groups import LongGroups, find_long_groups
+from wattline.functions.groups import LongGroups, find_long_groups, join_groups
 from wattline.functions.quantiles import group_quantiles
 from wattline.functions.sequence import add_run_length
 from wattline.schemas import KEYS
@@ -81,7 +81,7 @@ def _joined_statistics(
 
     def attach(rows: DataFrame, table: DataFrame) -> DataFrame:
         if keys:
-            return rows.join(table, keys, "left")
+            return join_groups(rows, table, keys, "left")
         return rows.withColumns({c: table.select(c).scalar() for c in table.columns})
 
     rows = attach(df, materialize(group_quantiles(df, value, {"_median": 0.5}, keys, long)))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.config import CleaningSettings
-from wattline.functions.groups import LongGroups, Series, find_long_groups
+from wattline.functions.groups import LongGroups, Series, find_long_groups, join_groups
 from wattline.functions.quantiles import group_quantiles
 from wattline.functions.sequence import fill_from_neighbours
 from wattline.schemas import FEATURES, KEYS, TARGET
@@ -65,7 +65,7 @@ def cap_outliers(
     if not long:
         return cap_step(df, Series(df, list(keys), ""), quantile, value)
     caps = group_quantiles(df, value, {"_cap": quantile}, keys, long)
-    return df.join(caps, list(keys), "left").withColumn(
+    return join_groups(df, caps, list(keys), "left").withColumn(
         value, F.when(F.col(value) > F.col("_cap"), F.col("_cap")).otherwise(F.col(value))).drop("_cap")
 
 

@@ -219,7 +219,13 @@ def site_leaders(sites: DataFrame) -> DataFrame:
 def prediction_sample(df: DataFrame, n: int = 5000, target: str = TARGET, predicted: str = "predicted") -> DataFrame:
     """A repeatable sample for the actual-versus-predicted chart: the n rows hashed lowest."""
     rows = df.select("building_id", "meter", "timestamp", target, predicted)
-    return rows.orderBy(F.xxhash64("building_id", "meter", "timestamp"), "building_id", "meter", "timestamp").limit(n)
+    key = F.md5(F.concat_ws("|", "building_id", "meter", F.col("timestamp").cast("string")))
+    return rows.orderBy(key, "building_id", "meter", "timestamp").limit(n)
+
+
+def residual_summary(df: DataFrame, residual: str = "residual") -> DataFrame:
+    """What the residual histogram's caption says."""
+    return df.agg(F.count(residual).alias("n"), F.avg(residual).alias("mean_residual"))
 
 
 def rate_by_meter_type(df: DataFrame) -> DataFrame:

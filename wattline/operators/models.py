@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -65,29 +66,41 @@ def _fit(
     return Forecast(name, _predict(model, held_out), model, _feature_names(features, categorical), elapsed)
 
 
+def _bins(train: DataFrame, features: Sequence[str], least: int = 128) -> int:
+    """Trees need a bin for every value of a categorical input, and one for values not seen."""
+    held = [c for c in CATEGORICAL if c in features]
+    counts = train.agg(*[F.countDistinct(c).alias(c) for c in held]).first() if held else ()
+    return max([least, *(n + 2 for n in counts)])
+
+
 def fit_boosted_trees(
     train: DataFrame, held_out: DataFrame, cfg: BoosterSettings = BoosterSettings(), target: str = TARGET
 ) -> Forecast:
-    """Gradient-boosted trees. Boosting stops early on the latest part of the
-    training rows, so the rows that are scored play no part in the fit."""
+    """Gradient-boosted trees. How many is found on the latest part of the training
+    rows; that many are then fitted to all of them. The rows that are scored play
+    no part in either."""
     shared_dir(train.sparkSession)
     features = feature_columns(train)
     learner = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
         maxDepth=cfg.max_depth, maxIter=cfg.rounds, stepSize=cfg.step_size,
         subsamplingRate=cfg.row_fraction, featureSubsetStrategy=str(cfg.feature_fraction),
-        minInstancesPerNode=cfg.min_rows_per_leaf, maxBins=128, seed=cfg.seed,
+        minInstancesPerNode=cfg.min_rows_per_leaf, maxBins=_bins(train, features), seed=cfg.seed,
         cacheNodeIds=True, checkpointInterval=10,
     )
-    rows = train
+    rows, tail = train, None
     if cfg.stopping_fraction > 0:
         seconds = F.unix_seconds(F.col(ORDER).cast("timestamp"))
         ends = train.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b"))
         border = ends.select(F.col("b") - (F.col("b") - F.col("a")) * cfg.stopping_fraction).scalar()
         rows = train.withColumn("stopping_row", seconds > border)
-        learner = learner.setParams(
-            validationIndicatorCol="stopping_row", validationTol=cfg.stopping_tolerance)
-    return _fit("boosted_trees", learner, rows, held_out, features, CATEGORICAL)
+        tail = learner.copy().setParams(validationIndicatorCol="stopping_row", validationTol=cfg.stopping_tolerance)
+    if tail is None:
+        return _fit("boosted_trees", learner, rows, held_out, features, CATEGORICAL)
+    found = _fit("boosted_trees", tail, rows, held_out, features, CATEGORICAL)
+    learner = learner.setParams(maxIter=found.model.stages[-1].getNumTrees)
+    final = _fit("boosted_trees", learner, train, held_out, features, CATEGORICAL)
+    return replace(final, train_seconds=found.train_seconds + final.train_seconds)
 
 
 def fit_forest(
@@ -132,6 +145,12 @@ SITE_SCHEMA = (
 )
 
 
+def _by_site(rows: DataFrame) -> DataFrame:
+    path = f"{shared_dir(rows.sparkSession)}/sites-{uuid.uuid4().hex}"
+    rows.write.partitionBy("site_id").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def fit_site_models(
     train: DataFrame, held_out: DataFrame, cfg: BoosterSettings = BoosterSettings(),
     fit: Callable[..., Forecast] = fit_boosted_trees, workers: int = 4, target: str = TARGET,
@@ -145,6 +164,9 @@ def fit_site_models(
         .fillna(0, subset=["n_val"]).where(F.col("site_id").isNotNull()).collect()
     }
 
+    # Stored by site, so that each fit reads its own files and the work grows with the rows.
+    train, held_out = (_by_site(part) for part in (train, held_out))
+
     def one(site: int) -> tuple:
         n_train, n_val = sizes[site]
         if n_train < MIN_SITE_TRAIN or n_val < MIN_SITE_HELD_OUT:
@@ -155,7 +177,7 @@ def fit_site_models(
             m = regression_metrics(result.predictions, target=target).first()
             return site, "ok", m["rmse"], m["cv_rmse"], m["mae"], result.train_seconds, n_train, n_val
         except Exception as error:  # one site's failure must not stop the others
-            return site, f"failed: {type(error).__name__}", None, None, None, None, n_train, n_val
+            return site, f"failed: {type(error).__name__}: {error}"[:500], None, None, None, None, n_train, n_val
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = list(pool.map(one, sorted(sizes)))

@@ -5,21 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.config import Settings
 from wattline.functions.groups import LongGroups, find_long_groups
-from wattline.functions.sequence import add_lags, add_rolling
+from wattline.functions.sequence import add_lags, add_rolling, null_zero_runs
 from wattline.operators import explore
 from wattline.operators.anomaly import anomaly_totals, detect_anomalies, severity_by_site, summarize_meters
 from wattline.operators.audit import build_audit_list
 from wattline.operators.cleaning import (
-    clean_readings, drop_incomplete, quality_report,
+    cap_outliers, clean_readings, drop_incomplete, quality_report,
 )
 from wattline.operators.features import add_row_features, add_sequence_features
 from wattline.operators.joins import join_buildings, join_weather
-from wattline.operators.models import Forecast, compare_models, fit_boosted_trees, fit_forest
+from wattline.operators.models import Forecast, compare_models, feature_importance, fit_boosted_trees, fit_forest
 from wattline.operators.split import (
     improvement_pct, predict_group_mean, predict_persistence, regression_metrics, time_split, with_residual,
 )
@@ -49,15 +49,27 @@ def feature_table(
     return add_row_features(rows, cfg.features)
 
 
-def quality_job(readings: DataFrame, buildings: DataFrame, weather: DataFrame) -> DataFrame:
-    return quality_report(load_dataset(readings, buildings, weather))
+def cleaned_readings(
+    readings: DataFrame, buildings: DataFrame, cfg: Settings = Settings(), long: LongGroups | None = None
+) -> DataFrame:
+    """Converted, capped and outage-free readings with their site; no other dimension takes part."""
+    if long is None:
+        long = find_long_groups(readings)
+    rows = clean_readings(join_buildings(readings, buildings, ["site_id"]), cfg.cleaning)
+    rows = cap_outliers(rows, cfg.cleaning.cap_quantile, long=long)
+    return null_zero_runs(rows, cfg.cleaning.min_zero_streak, long=long)
 
 
-def explore_job(readings: DataFrame, buildings: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:
-    """All exploratory tables over the cleaned data set, which is stored once."""
+def quality_job(readings: DataFrame, buildings: DataFrame, weather: DataFrame, long: LongGroups | None = None) -> DataFrame:
+    """The report reads sites and readings only, so weather is not joined."""
+    return quality_report(cleaned_readings(readings, buildings, long=long))
+
+
+def explore_job(readings: DataFrame, buildings: DataFrame, weather: DataFrame, out: str | None = None) -> dict[str, DataFrame]:
+    """All exploratory tables over the cleaned data set, which is stored once; written below ``out`` if given."""
     df = materialize(load_dataset(readings, buildings, weather))
     sites = explore.site_comparison(df)
-    return {
+    tables = {
         "dataset": explore.dataset_summary(df),
         "meter_types": explore.buildings_per_meter_type(df),
         "uses": explore.buildings_per_use(buildings),
@@ -71,6 +83,9 @@ def explore_job(readings: DataFrame, buildings: DataFrame, weather: DataFrame) -
         "sites": sites,
         "site_leaders": explore.site_leaders(sites),
     }
+    for name, table in tables.items() if out else ():
+        write_table(table, f"{out}/eda/{name}", "json")
+    return tables
 
 
 def raw_feature_job(readings: DataFrame, buildings: DataFrame, weather: DataFrame) -> DataFrame:
@@ -98,17 +113,21 @@ def modelling_rows(
 
 
 def compare_job(
-    readings: DataFrame, buildings: DataFrame, weather: DataFrame, cfg: Settings = Settings()
+    readings: DataFrame, buildings: DataFrame, weather: DataFrame, cfg: Settings = Settings(), out: str | None = None
 ) -> DataFrame:
-    """Metrics of both baselines and both learners on the same split."""
+    """Metrics of both baselines and both learners on the same split, with its row counts; written to ``out`` if given."""
     _, train, held_out = modelling_rows(readings, buildings, weather, cfg)
     trees, forest = fit_boosted_trees(train, held_out, cfg.booster), fit_forest(train, held_out, cfg.booster)
-    return compare_models([
+    sizes = [part.agg(F.count(F.lit(1))).scalar() for part in (train, held_out)]
+    table = compare_models([
         ("meter_mean", predict_group_mean(train, held_out), 0.0),
         ("persistence", predict_persistence(train, held_out), 0.0),
         (forest.name, forest.predictions, forest.train_seconds),
         (trees.name, trees.predictions, trees.train_seconds),
-    ])
+    ]).withColumns({"n_train": sizes[0], "n_val": sizes[1]})
+    if out:
+        write_table(table, f"{out}/model_comparison", "json")
+    return table
 
 
 @dataclass(frozen=True)
@@ -138,6 +157,14 @@ def baseline_audit(
     return build_audit_list(summarize_meters(scored), buildings, cfg.audit)
 
 
+def _importance(forecast: Forecast) -> Column:
+    """The leading inputs by name; empty for a forecast without a tree ensemble."""
+    stages = forecast.model.stages
+    top = feature_importance(forecast).collect() if stages and hasattr(stages[-1], "featureImportances") else []
+    pairs = [F.struct(F.lit(r["feature"]).alias("feature"), F.lit(r["importance"]).alias("importance")) for r in top]
+    return F.array(*pairs) if pairs else F.array().cast("array<struct<feature:string,importance:double>>")
+
+
 def audit_job(
     readings: DataFrame, buildings: DataFrame, weather: DataFrame, out: str, cfg: Settings = Settings(),
     fit: Callable[..., Forecast] = fit_boosted_trees,
@@ -145,7 +172,7 @@ def audit_job(
     """The full run; every result table is written below ``out``."""
     spark = readings.sparkSession
     long = find_long_groups(readings)
-    write_table(quality_job(readings, buildings, weather), f"{out}/data_quality")
+    write_table(quality_job(readings, buildings, weather, long), f"{out}/data_quality")
     rows, train, held_out = modelling_rows(readings, buildings, weather, cfg, long)
     forecast = fit(train, held_out, cfg.booster)
     save_model(forecast.model, f"{out}/model")
@@ -163,6 +190,8 @@ def audit_job(
     write_summary(summary_row(
         spark,
         rows=rows.agg(F.count(F.lit(1)).alias("modelled")),
+        train_rows=train.agg(F.count(F.lit(1))).scalar(), val_rows=held_out.agg(F.count(F.lit(1))).scalar(),
+        n_features=len(forecast.features), importance=_importance(forecast),
         model=model, meter_mean=mean, persistence=regression_metrics(predict_persistence(train, held_out)),
         improvement_pct=F.round(improvement_pct(model.select("rmse").scalar(), mean.select("rmse").scalar()), 2),
         anomalies=anomaly_totals(scored),

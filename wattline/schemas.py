@@ -16,15 +16,15 @@ def _table(*columns: tuple[str, T.DataType]) -> T.StructType:
 
 
 READINGS = _table(
-    ("building_id", T.ShortType()),
-    ("meter", T.ByteType()),
+    ("building_id", T.LongType()),
+    ("meter", T.IntegerType()),
     ("timestamp", _HOUR),
     ("meter_reading", T.FloatType()),
 )
 
 BUILDINGS = _table(
-    ("site_id", T.ByteType()),
-    ("building_id", T.ShortType()),
+    ("site_id", T.IntegerType()),
+    ("building_id", T.LongType()),
     ("primary_use", T.StringType()),
     ("square_feet", T.FloatType()),
     ("year_built", T.FloatType()),
@@ -32,7 +32,7 @@ BUILDINGS = _table(
 )
 
 WEATHER = _table(
-    ("site_id", T.ByteType()),
+    ("site_id", T.IntegerType()),
     ("timestamp", _HOUR),
     ("air_temperature", T.FloatType()),
     ("cloud_coverage", T.FloatType()),
