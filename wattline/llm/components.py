@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wattline.session import materialize
@@ -27,8 +27,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = materialize(large)
         least = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")))
         small = large.join(least, "hi").select(F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo"))
-        links = materialize(small.where("hi <> lo").distinct())
-        now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
+        seen = Observation()
+        small = small.where("hi <> lo").distinct()
+        links = materialize(small.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")))
+        now = seen.get
         if now == before:
             break
         before = now

@@ -231,7 +231,7 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     spread = again.select("id", F.explode("signs").alias("sign"))
     met = spread.groupBy("sign").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("sign", "low")
     meets = spread.join(met, "sign").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
-    family = materialize(connected_components(meets.distinct()).select(F.col("node").alias("id"), F.col("component").alias("family")))
+    family = materialize(connected_components(meets).select(F.col("node").alias("id"), F.col("component").alias("family")))
 
     # Blocks: a family's rows of one size level, dealt out by hash; a block meets those of its level and of the next.
     sized = again.select("id", "name", "level").join(family, "id")

@@ -119,25 +119,22 @@ class Codec:
             head = len(space) if self.prefix else 0
             return space * bool(head) + data.replace(b" ", space), np.concatenate((np.zeros(head, np.int64), origin, [len(data)]))
         out, origin, at, end, blank = bytearray(), [], 0, len(data), self.squeeze
-        prefix = self.prefix
+        while self.squeeze and at < end and self._chunk(data, at)[1] == b" ":
+            at += self._chunk(data, at)[0]
+        if at == end:
+            return b"", np.full(1, end)
+        if self.prefix:
+            out += space
+            origin += [at] * len(space)
         while at < end:
-            hit = self.map.longest(data, at) if self.map.units else None
-            if hit is None:
-                byte = data[at]
-                width = 1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
-                hit = (width, data[at : at + width])
-            width, chunk = hit
+            width, chunk = self._chunk(data, at)
             while blank and chunk.startswith(b" "):
                 chunk = chunk[1:]
+            for byte in chunk:
+                new = space if byte == 32 else bytes((byte,))
+                out += new
+                origin += [at] * len(new)
             if chunk:
-                if prefix:
-                    out += space
-                    origin += [at] * len(space)
-                    prefix = False
-                for byte in chunk:
-                    new = space if byte == 32 else bytes((byte,))
-                    out += new
-                    origin += [at] * len(new)
                 blank = self.squeeze and chunk.endswith(b" ")
             at += width
         if self.squeeze:
@@ -147,6 +144,15 @@ class Codec:
                 del origin[-len(space) :]
         return bytes(out), np.array([*origin, end], np.int64)
 
+    def _chunk(self, data: bytes, at: int) -> tuple[int, bytes]:
+        """Source bytes that are normalised together, and what they become: a mapped prefix or one character."""
+        hit = self.map.longest(data, at) if self.map.units else None
+        if hit is None:
+            byte = data[at]
+            width = 1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
+            hit = width, data[at : at + width]
+        return hit
+
     def encode_ids(self, texts: list[str]) -> list[np.ndarray]:
         """Ids with begin and end: joined from the ids of pre-tokens where cutting is proved, else of whole texts."""
         ends = [self.lib.bos_id()], [self.lib.eos_id()]
