@@ -76,7 +76,7 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     ``n_quoted`` passages, ``n_linked`` of them, and ``format``: the message as a role-marked block."""
     columns = [c for c in df.columns if c not in MADE]
     rows = df.select(*[F.col(f"`{c}`") for c in columns]).withColumn("__lines", parse_lines(F.col(f"`{text}`")))
-    rows = rows.withColumn("__own", own_text(F.col("__lines")))
+    rows = rows.withColumn("__own", F.when(F.col("__lines").isNotNull(), own_text(F.col("__lines"))))
     usable = rows.where(F.col(conv).isNotNull() & F.col(turn).isNotNull())
     base = usable.select(F.col(conv).alias("c"), F.col(turn).cast("bigint").alias("t"), F.col("__lines").alias("lines"), F.col("__own").alias("own")).distinct()
 

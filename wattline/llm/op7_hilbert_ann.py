@@ -7,7 +7,7 @@ range and of ``reach`` ranges on either side. The windows of all curves merge, a
 inner product of the original vectors in double precision.
 
 The windows are a fixed share of the data, ``(2 * reach + 1) / blocks`` of each curve, so recall doesn't fall as tables
-grow; the price is work that grows with queries times that share. Ranges of any size are cut into units of at most
+grow (tables of few vectors get fewer ranges, so that a window holds ``k`` of them); the price is work that grows with queries times that share. Ranges of any size are cut into units of at most
 ``unit`` vectors by ``unit`` queries, so no task holds more.
 
 Defined results: rows without an id, without a vector, with a vector of another length than most, with null, NaN or
@@ -110,10 +110,13 @@ def search(
     index = materialize(base.select("vec", "ids", "first").mapInArrow(keyed, schema))
     queries = materialize(asked.withColumnRenamed("id", "query_id").join(index.select("vec", "first"), "vec").select("query_id", "first"))
 
-    # equal shares of each curve: a fixed number of borders, whatever the table's size
-    shares = [i / blocks for i in range(1, blocks)]
-    found = index.agg(F.count("*").alias("n"), *[F.percentile_approx(F.col("keys")[c], shares, 10_000).alias(f"c{c}") for c in range(curves)]).first()
-    borders = F.array(*[F.array(*[F.lit(x) for x in (found[f"c{c}"] or [0])]) for c in range(curves)])
+    # equal shares of each curve; ranges of a few vectors would leave queries with less than k candidates
+    n_vectors = index.count()
+    blocks = max(1, min(blocks, n_vectors // (4 * (k + 1))))
+    shares = [i / blocks for i in range(1, blocks)] or [0.5]
+    found = index.agg(*[F.percentile_approx(F.col("keys")[c], shares, 10_000).alias(f"c{c}") for c in range(curves)]).first()
+    cuts = [found[f"c{c}"] or [0] for c in range(curves)] if blocks > 1 else [[1 << 62]] * curves
+    borders = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in cut]) for cut in cuts])
     asking = index.join(queries.select("first").distinct(), "first", "left_semi")
     n_asking = max(queries.select("first").distinct().count(), 1)
 
@@ -125,7 +128,7 @@ def search(
         mine = F.pmod(F.xxhash64("first"), F.lit(own))
         return at.withColumn("mine", mine).withColumn("theirs", F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
 
-    cuts_c = max(1, -(-int(found["n"] * 1.2) // (blocks * unit)))
+    cuts_c = max(1, -(-int(n_vectors * 1.2) // (blocks * unit)))
     cuts_q = max(1, -(-int(n_asking * 1.2 * (2 * reach + 1)) // (blocks * unit)))
     left = placed(asking, True, cuts_q, cuts_c).where(F.col("block").between(0, blocks - 1))
     left = left.select("curve", "block", F.col("mine").alias("q"), F.col("theirs").cast("bigint").alias("c"), F.lit(True).alias("asks"), "first", "vec")
