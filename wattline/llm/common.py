@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -52,10 +54,18 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) ->
         start = end
 
 
-def map_texts(df: DataFrame, column: str, schema: str, make, carry: list[str] | None = None) -> DataFrame:
+def release() -> None:
+    """Give memory that a finished task no longer needs back to the system: workers live on and share an executor."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_texts(df: DataFrame, column: str, schema: str, make, carry: list[str] | None = None, limit: int = CHUNK_BYTES) -> DataFrame:
     """Run ``make(texts) -> dict of columns`` over slices of whole texts; nulls are passed as None.
 
-    ``carry`` names the input columns that are returned next to the made ones; all others are not read.
+    ``carry`` names the input columns that are returned next to the made ones; all others are not read. ``limit`` is
+    the text of one slice, in bytes.
     """
     from pyspark.sql.types import StructType
 
@@ -72,11 +82,12 @@ def map_texts(df: DataFrame, column: str, schema: str, make, carry: list[str] |
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, own):
+            for part in text_slices(batch, own, limit):
                 columns = make(part.column(own).to_pylist())
                 arrays = [part.column(c).cast(target.field(c).type) for c in carry]
                 arrays += [pa.array(columns[n], target.field(n).type) for n in names]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        release()
 
     return source.mapInArrow(run, out)
 

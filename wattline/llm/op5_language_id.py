@@ -246,4 +246,4 @@ def identify(df: DataFrame, tagger: Tagger, text: str = "text", keep: list[str]
 
     made = ("lang_pred", "score", "switches")
     keep = [c for c in df.columns if c != text and c not in made] if keep is None else keep
-    return map_texts(df, text, "lang_pred string, score double, switches bigint", make, keep)
+    return map_texts(df, text, "lang_pred string, score double, switches bigint", make, keep, limit=512 << 10)

@@ -192,10 +192,10 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], same: bool, bou
     return a, b, count[a, b]
 
 
-def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int = 3, block: int = 512, all_links: bool = False):
+def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int = 3, block: int = 512, block_cells: int = 400_000, all_links: bool = False):
     """Rows (``id``, ``n``, ``name``), and links (``a``, ``b``: smallest ids of linked sets, ``overlap``).
 
-    With ``all_links`` every linked pair of different sets is returned, else a spanning forest of each block pair.
+    A block holds about ``block`` rows and ``block_cells`` shingles at most. With ``all_links`` every linked pair of different sets is returned, else a spanning forest of each block pair.
     """
     bound = Bound(percent)
     source = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("id IS NOT NULL")
@@ -221,11 +221,11 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     def sets(texts):
         found = shingle_sets(texts, width)
         return {
-            "name": [row_name(x) for x in found], "level": [bound.level(len(x)) for x in found],
+            "name": [row_name(x) for x in found], "n": [len(x) for x in found], "level": [bound.level(len(x)) for x in found],
             "signs": [signatures(x, bound).view(np.int64) for x in found], "shingles": [x.tobytes() for x in found],
         }
 
-    schema = "name binary, level bigint, signs array<bigint>, shingles binary"
+    schema = "name binary, n bigint, level bigint, signs array<bigint>, shingles binary"
     again = map_texts(source.join(kept, "id"), "text", schema, sets, ["id"]).join(firsts.select(F.col("first").alias("id"), "name"), ["id", "name"], "left_semi")
     again = materialize(again.dropDuplicates(["id", "name"]))
     spread = again.select("id", F.explode("signs").alias("sign"))
@@ -234,8 +234,9 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     family = materialize(connected_components(meets).select(F.col("node").alias("id"), F.col("component").alias("family")))
 
     # Blocks: a family's rows of one size level, dealt out by hash; a block meets those of its level and of the next.
-    sized = again.select("id", "name", "level").join(family, "id")
-    counts = sized.groupBy("family", "level").count().withColumn("cuts", F.ceil(F.col("count") / block))
+    sized = again.select("id", "name", "level", "n").join(family, "id")
+    counts = sized.groupBy("family", "level").agg(F.count("*").alias("rows"), F.sum("n").alias("cells"))
+    counts = counts.withColumn("cuts", F.greatest(F.ceil(F.col("rows") / block), F.ceil(F.col("cells") / block_cells)))
     cuts = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("level", "cuts"))).alias("cuts"))
     numbers = sized.join(materialize(cuts), "family")
     at = lambda level: F.coalesce(F.col("cuts")[level], F.lit(0).cast("bigint"))
