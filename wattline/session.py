@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,12 +62,30 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what ``materialize`` stored inside; for runs whose results are written elsewhere."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, as a parquet table in the shared folder.
 
     Like a reliable checkpoint it cuts the lineage and survives lost executors;
-    unlike one it keeps column pruning and filter push-down for its readers.
+    unlike one it keeps column pruning and filter push-down for its readers. Inside
+    ``scratch`` the table goes when that ends, else when the folder is cleaned.
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
