@@ -131,7 +131,7 @@ def test_small_and_failing_sites_do_not_stop_the_others(spark):
         return models.Forecast("mean", predict_group_mean(train, held_out), None, [], 0.0)
 
     status = {r.site_id: r.status for r in models.fit_site_models(train, held_out, fit=fit).collect()}
-    assert status == {0: "ok", 1: "failed: RuntimeError", 2: "skipped"}
+    assert status == {0: "ok", 1: "failed: RuntimeError: no", 2: "skipped"}
 
 
 def test_every_check_is_well_formed():

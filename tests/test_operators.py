@@ -199,3 +199,34 @@ def test_streaks_and_summary(spark):
     assert max(column(detected, "anomaly_streak")) == 3
     summary = summarize_meters(detected).first()
     assert (summary.total_hours, summary.anomaly_hours, summary.max_streak) == (33, 3, 3)
+
+
+def test_feature_path_has_one_shuffle_and_one_sort(spark):
+    """Caps, outages, lags and rolling statistics keep the one order of the series."""
+    from wattline.config import CleaningSettings
+    from wattline.functions.groups import LongGroups
+    from wattline.operators.features import add_sequence_features
+
+    whole = LongGroups(("building_id", "meter"), 10**9, None)
+    df = add_sequence_features(readings(spark, hours([1.0] * 30)), cleaning=CleaningSettings(), long=whole)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("least", [1, 2, 7, 8, 9, 16, 48])
+def test_outages_by_their_definition(spark, least):
+    import numpy as np
+
+    rng = np.random.default_rng(least)
+    values = []
+    while len(values) < 400:
+        values += [0.0] * int(rng.choice([1, least - 1, least, least + 1, 2 * least + 3])) + [[1.0], [None], [2.0, 3.0]][rng.integers(3)]
+    wanted, i = list(values), 0
+    while i < len(values):
+        j = i
+        while j < len(values) and values[j] == 0:
+            j += 1
+        if j - i >= least:
+            wanted[i:j] = [None] * (j - i)
+        i = max(j, i + 1)
+    assert column(null_zero_runs(readings(spark, hours(values)), least), "meter_reading") == wanted

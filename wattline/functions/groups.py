@@ -76,7 +76,10 @@ class Series:
         return Window.partitionBy(*self.keys).orderBy(self.order)
 
     def group(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys)
+        """The whole series; in the order of ``window``, if there is one, so that both share a sort."""
+        if not self.order:
+            return Window.partitionBy(*self.keys)
+        return self.window().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def owned(self, df: DataFrame) -> DataFrame:
         if not self.split:

@@ -12,6 +12,10 @@ from wattline.functions.rolling import STATISTICS, add_frame_summaries, frame_st
 from wattline.schemas import KEYS, ORDER, TARGET
 
 
+# Rows of the short frame that looks ahead for the end of an outage.
+AHEAD = 8
+
+
 def quarter_full(width: int) -> int:
     """A rolling value needs a quarter of its frame."""
     return max(1, width // 4)
@@ -48,19 +52,24 @@ def rolling_step(
 def null_zero_runs_step(df: DataFrame, series: Series, min_length: int, value: str = TARGET) -> DataFrame:
     """Null zeros in runs of at least ``min_length`` rows; a null reading ends a run.
 
-    Rows between two non-zero readings share a break number, which the run's
-    length is counted by; that takes a second sort inside the same partitioning.
+    The length of a run so far is the distance to the last row that isn't zero.
+    A zero is in a long run if that length has reached the limit, or does so
+    within the next ``min_length - 1`` rows, which are looked at in a few
+    shifted copies of a short frame. Everything keeps the series' one order.
     """
-    is_zero = F.coalesce(F.col(value) == 0, F.lit(False))
-    df = df.withColumn("_zero", is_zero.cast("int"))
-    df = df.withColumn(
-        "_breaks", F.sum(1 - F.col("_zero")).over(series.window().rowsBetween(Window.unboundedPreceding, 0))
-    )
-    run = Window.partitionBy(*series.keys, "_breaks").orderBy(series.order).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    df = df.withColumn("_length", F.sum("_zero").over(run))
-    too_long = (F.col("_zero") == 1) & (F.col("_length") >= min_length)
-    return df.withColumn(value, F.when(~too_long, F.col(value))).drop("_zero", "_breaks", "_length")
+    w = series.window()
+    zero = F.coalesce(F.col(value) == 0, F.lit(False))
+    df = df.withColumn("_row", F.row_number().over(w))
+    last = F.last(F.when(~zero, F.col("_row")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("_length", F.col("_row") - F.coalesce(last, F.lit(0)))
+    reaches = (F.col("_length") == min_length).cast("int")
+    step = min(AHEAD, min_length)
+    df = df.withColumn("_ahead", F.max(reaches).over(w.rowsBetween(0, step - 1)))
+    offsets = [*range(0, min_length - step, step), min_length - step]
+    near = F.greatest(F.lit(0), *[F.lead("_ahead", n).over(w) if n else F.col("_ahead") for n in offsets])
+    df = df.withColumn("_near", near)
+    too_long = zero & ((F.col("_length") >= min_length) | (F.col("_near") == 1))
+    return df.withColumn(value, F.when(~too_long, F.col(value))).drop("_row", "_length", "_ahead", "_near")
 
 
 # --- stand-alone operators --------------------------------------------------
