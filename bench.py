@@ -27,7 +27,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
-        "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(2 * int(cpus)), spark__driver__memory="16g")
+        "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(2 * int(cpus)), spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
 
     buildings = materialize(describe_buildings(standin.buildings(spark, sf_dir)))

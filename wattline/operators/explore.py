@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions import scalar as S
 from wattline.functions.quantiles import group_quantiles
+from wattline.operators.joins import join_groups_results
 from wattline.schemas import METER_NAMES, TARGET, WEATHER_COLUMNS
 
 
@@ -98,12 +99,10 @@ def clipped_histogram(
     """Histogram per group, values above the group's quantile counted as the quantile."""
     keys = list(keys)
     caps = group_quantiles(df, value, {"_cap": quantile}, keys)
-    rows = (
-        df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-        .join(caps, keys).withColumn("_v", F.least("_v", "_cap"))
-    )
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = join_groups_results(rows, caps, keys).withColumn("_v", F.least("_v", "_cap"))
     ends = rows.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    return _bins(rows.join(ends, keys), keys, bins, F.col("_low"), F.col("_high"), "_v")
+    return _bins(join_groups_results(rows, ends, keys), keys, bins, F.col("_low"), F.col("_high"), "_v")
 
 
 def time_profiles(df: DataFrame, value: str = TARGET) -> DataFrame:
@@ -168,7 +167,7 @@ def response_curve(
     width = (F.col("_high") - F.col("_low")) / bins
     place = F.ceil((F.col("_x") - F.col("_low")) / F.nullif(width, F.lit(0.0)))
     bin_no = F.greatest(F.least(F.coalesce(place, F.lit(1)), F.lit(bins)), F.lit(1)).cast("int")
-    return rows.join(ends, "meter").groupBy("meter", bin_no.alias("bin")).agg(
+    return join_groups_results(rows, ends, ["meter"]).groupBy("meter", bin_no.alias("bin")).agg(
         F.count(F.lit(1)).alias("count"),
         F.avg("_y").alias("mean_reading"),
     )

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattline.session import materialize
 from wattline.sources.calendar import DEFAULT_COUNTRY, holidays, site_country
 
 
@@ -39,6 +40,21 @@ def lookup_with_default(
     return df.join(found, list(keys), "left").withColumn(out, F.coalesce("_found", default)).drop("_found")
 
 
+# Rows of a group result that every task may hold.
+FEW_GROUPS = 10_000
+
+
+def join_groups_results(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join rows to one result per group, for keys of few values.
+
+    The result is counted first: up to ``FEW_GROUPS`` rows go to every task, so
+    that the rows stay where they are instead of meeting in one task per key.
+    Larger results are joined by shuffling.
+    """
+    table = materialize(table)
+    return df.join(F.broadcast(table) if table.count() <= FEW_GROUPS else table, list(keys), how)
+
+
 def mark_holidays(df: DataFrame, out: str = "is_holiday", order: str = "timestamp") -> DataFrame:
     """1 on public holidays of the site's country, on US ones without a site."""
     calendar = holidays(df.sparkSession).select(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wattline.config import BoosterSettings
 from wattline.operators.features import feature_columns
+from wattline.operators.joins import join_groups_results
 from wattline.operators.split import regression_metrics
 from wattline.schemas import ORDER, TARGET
 from wattline.session import materialize, shared_dir
@@ -192,7 +193,7 @@ def fit_site_lines(train: DataFrame, held_out: DataFrame, x: str = "lag_24h", ta
         F.count(F.lit(1)).alias("_n"),
     ).where(F.col("_n") >= MIN_SITE_TRAIN)
     line = F.col("_intercept") + F.col("_slope") * F.col(x)
-    return held_out.join(lines, "site_id", "left").withColumn(
+    return join_groups_results(held_out, lines, ["site_id"], "left").withColumn(
         "predicted", F.when(line.isNotNull(), F.greatest(line, F.lit(0.0)))).drop("_slope", "_intercept", "_n")
 
 
