@@ -1,9 +1,9 @@
 """Toxic passages by maximum-scoring segment search over token log-odds.
 
-Training compares labelled texts. Words, and the first four and five letters of words, are counted once per text; texts
-that agree in two min-hashes of their word triples count as one, so that copies don't vote twice. The log-odds of
+Training compares labelled texts. Words are counted once per text, and families of words that begin with the same four
+or five letters by the sums of their words; texts that agree in two min-hashes of their word triples count as one, so that copies don't vote twice. The log-odds of
 a word between toxic and clean texts has an informative Dirichlet prior proportional to its overall frequency; a
-word's token score is the lower bound ``delta - z * sigma``. A word without a positive bound takes its prefix's,
+word's token score is the lower bound ``delta - z * sigma``. A word without a positive bound takes its family's,
 unless clean texts hold the word. All other tokens score ``-drift``.
 
 A text's token scores are scanned once; all maximal segments come out in linear time. Their significance follows
@@ -126,15 +126,13 @@ def _distinct(rows: DataFrame) -> DataFrame:
 
 
 def _count(rows: DataFrame) -> DataFrame:
-    """For every word, and every prefix of four or five letters (after a space): toxic and clean texts that hold it."""
+    """For every word: toxic and clean texts that hold it."""
 
     def run(batches):
         tally: dict[str, list[int]] = {}
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                terms = set(WORD.findall((text or "").lower()))
-                terms |= {f" {w[:n]}" for w in terms for n in (4, 5) if len(w) > n}
-                for term in terms:
+                for term in set(WORD.findall((text or "").lower())):
                     tally.setdefault(term, [0, 0])[label] += 1
         columns = [list(tally), [v[1] for v in tally.values()], [v[0] for v in tally.values()]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["term", "y1", "y0"])
@@ -142,6 +140,17 @@ def _count(rows: DataFrame) -> DataFrame:
     return rows.select("text", "label").mapInArrow(run, "term string, y1 bigint, y0 bigint").groupBy("term").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
 
 
+def _families(words: DataFrame) -> DataFrame:
+    """Counts of words by their first letters (marked by a space). The most frequent toxic word is left out: it is
+    scored itself, and one word alone says nothing about others that begin like it."""
+    parts = [
+        words.where(F.length("term") > n).groupBy(F.concat(F.lit(" "), F.substring("term", 1, n)).alias("term"))
+        .agg((F.sum("y1") - F.max("y1")).alias("y1"), F.sum("y0").alias("y0"))
+        for n in (4, 5)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def train(
     docs: DataFrame, labels: DataFrame, keep: Column, per_class: int = 3000,
     z: float = 3.5, least: float = 1.5, drift: float = 0.1, prior: float = 10.0,
@@ -153,22 +162,21 @@ def train(
     """
     chosen = labelled_ids(labels, "toxic", keep, per_class)  # bounded, so its join may be broadcast
     rows = _distinct(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label"))
-    counted = materialize(_count(rows).withColumn("kind", F.when(F.col("term").startswith(" "), F.length("term")).otherwise(0)))
-    sums = {r["kind"]: (r["n1"], r["n0"]) for r in counted.groupBy("kind").agg(F.sum("y1").alias("n1"), F.sum("y0").alias("n0")).collect()}
-    if not all(sums.get(0, (0, 0))):
+    words = materialize(_count(rows))
+    n1, n0 = words.agg(F.coalesce(F.sum("y1"), F.lit(0)), F.coalesce(F.sum("y0"), F.lit(0))).first()
+    if not n1 or not n0:
         return Model(drift=drift)
-    per_kind = F.create_map(*[F.lit(x) for k, v in sums.items() for x in (k, F.array(*[F.lit(float(n)) for n in v]))])
-    n1, n0 = per_kind[F.col("kind")][0], per_kind[F.col("kind")][1]
+    counted = words.unionByName(_families(words))
     share = (F.col("y1") + F.col("y0")) / (n1 + n0)
     y1, y0 = F.col("y1") + F.greatest(share * prior, F.lit(0.5)), F.col("y0") + F.greatest(share * prior, F.lit(0.5))
-    delta = F.log(y1 / (n1 + prior - y1)) - F.log(y0 / (n0 + prior - y0))
+    delta = F.log(y1 / F.greatest(n1 + prior - y1, F.lit(1.0))) - F.log(y0 / F.greatest(n0 + prior - y0, F.lit(1.0)))
     bound = delta - z * F.sqrt(1 / y1 + 1 / y0)
     good = {r["term"]: r["s"] for r in counted.where(F.col("y1") >= 2).where((delta >= least) & (bound > 0)).select("term", bound.alias("s")).collect()}
     model = Model({t: s for t, s in good.items() if t[0] != " "}, {t[1:]: s for t, s in good.items() if t[0] == " "}, drift)
     if model.prefixes:
         stems = list(model.prefixes)
         stem = F.col("term").substr(1, 4).isin(stems) | F.col("term").substr(1, 5).isin(stems)
-        seen = counted.where((F.col("kind") == 0) & stem & (F.col("y0") > 0)).select("term").collect()
+        seen = words.where(stem & (F.col("y0") > 0)).select("term").collect()
         model.words = {r["term"]: -drift for r in seen} | model.words
     share = labels.where(F.col("toxic").isNotNull() & keep).agg(F.avg((F.col("toxic") == 1).cast("double")).alias("s")).first()["s"]
     return calibrate(model, rows, min(max(share, 1e-3), 1 - 1e-3))
