@@ -1,4 +1,9 @@
-"""Settings records; the defaults are the published ones."""
+"""Settings records.
+
+The defaults are the published ones, with two exceptions: features stay doubles
+(``narrow_floats`` makes them floats), and boosting has at most 60 rounds of
+MLlib trees instead of 1,000 of another library.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class CleaningSettings:
+    # The published quantile, outage length and unit conversion.
     cap_quantile: float = 0.999
     min_zero_streak: int = 48
     converted_site: int = 0
@@ -45,6 +51,7 @@ class AnomalySettings:
 
 @dataclass(frozen=True)
 class AuditSettings:
+    # The published minimum and weights.
     min_hours: int = 100
     weights: dict[str, float] = field(
         default_factory=lambda: {
