@@ -43,6 +43,17 @@ def test_article_without_a_tag_of_its_own():
     assert text.startswith("Short.") and text.count("Sentence") == 8 and "link number" not in text
 
 
+@pytest.mark.parametrize("attribute", ['style="overflow: hidden"', "style='overflow: hidden'", 'title="the hidden truth"', 'data-x=1 title="a class=menu b"', "data-hidden=1"])
+def test_values_are_not_attributes(attribute):
+    page = f"<body><div {attribute}><article {attribute}><p>Story of some length.</p><p>More of it.</p></article></div></body>"
+    assert extract(page) == "Story of some length.\n\nMore of it."
+
+
+@pytest.mark.parametrize("attribute", ["hidden", 'hidden=""', 'id="x" HIDDEN', "hidden=hidden style='a: b'"])
+def test_hidden_attribute(attribute):
+    assert extract(f"<p>Story of some length.</p><div {attribute}>Not shown</div><p>More of it.</p>") == "Story of some length.\n\nMore of it."
+
+
 def test_given_pages(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     found = {r.page_id: r for r in extract_text(pages).collect()}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from wattline.llm.common import map_texts
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'=<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 # fixed values: what the markup standard and common practice give
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
@@ -48,6 +48,7 @@ BOILERPLATE = {
     "comments", "reply", "replies", "disqus", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription",
     "popup", "modal", "overlay", "login", "signup", "search", "pagination", "pager", "toolbar", "masthead", "complementary", "contentinfo", "alert",
 }
+NAMES = {"class", "id", "role"}
 TOPS = {"article", "main"}
 
 
@@ -66,9 +67,11 @@ class Node:
 def unwanted(tag: str, attributes: str, article: bool) -> bool:
     if tag in CUT or (tag == "header" and not article):
         return True
-    if "=" not in attributes:
-        return False
-    return any(w in BOILERPLATE for m in NAMED.finditer(attributes) for w in re.split(r"[^a-z]+", m.group(1).lower()) if w) or " hidden" in f" {attributes.lower()} ".replace("=", " =")
+    for m in ATTRIBUTE.finditer(attributes):
+        name = (m.group(1) or "").lower()  # none for a quoted text without a name
+        if name == "hidden" or (name in NAMES and any(w in BOILERPLATE for w in re.split(r"[^a-z]+", (m.group(2) or "").lower()))):
+            return True
+    return False
 
 
 def parse(page: str) -> Node:
