@@ -54,6 +54,29 @@ def test_hidden_attribute(attribute):
     assert extract(f"<p>Story of some length.</p><div {attribute}>Not shown</div><p>More of it.</p>") == "Story of some length.\n\nMore of it."
 
 
+STORY = "<p>Story of some length.</p><p>More of it.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<div id="page" class="site has-sidebar"><article>{STORY}</article></div>', f'<div class="elementor-widget">{STORY}</div>',
+    f'<article class="post comments-open">{STORY}</article>', f'<article class="comments">{STORY}</article>', f'<div class="widget">{STORY}</div>',
+    f'<div class="sidebar"><div class="menu"><main role="search">{STORY}</main></div></div>', f"<form><article>{STORY}</article></form>",
+    f'<center class="ad"><div>{STORY}</div></center>', f"<form>{STORY}</form>", f"<div hidden>{STORY}</div>",
+    f'<div class="widgets"><div class="related">{STORY}</div></div>',
+    '<p>Story <span class="share">x <span>y</span> z</span>of some length.</p><p>More of it.</p>',
+    f'<div class="sidebar">Aside.</div><div class="post">{STORY}</div><div class="sidebar-2">Aside.</div>',
+    f'<article>{STORY}</article><ol class="comments">{"<li><p>A reader had this to say.</p></li>" * 9}</ol>',
+    f'<article>{STORY}<div class="comments">{"<article><p>A reader had this to say.</p></article>" * 9}</div></article>',
+])
+def test_words_do_not_cut_the_text(page):
+    assert extract(f"<body>{page}</body>") == "Story of some length.\n\nMore of it."
+
+
+def test_text_in_many_unwanted_parts():
+    parts = [f"Part {i} of the story has some length to it." for i in range(4)]
+    assert extract("".join(f'<div class="widget"><p>{x}</p></div>' for x in parts)).split("\n\n") == parts
+
+
 def test_given_pages(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet")
     found = {r.page_id: r for r in extract_text(pages).collect()}

@@ -6,9 +6,12 @@ links; a node's density sum adds up its children's densities. The least density
 the body is the threshold; among nodes that reach it, the one with the largest density sum is the main subtree. It is
 widened to its parent while the parent keeps at least half its density, so that sections stay together.
 
-Never part of the text, and cut out before densities are taken: navigation, footers, sidebars, forms, scripts, styles
-and the like by their element, and adverts, notices, menus, comments and the like by words of class, id and role;
-page headers outside an article.
+Never part of the text, and cut out before densities are taken: navigation, footers, sidebars, scripts, styles and the
+like by their element. Cut out where they don't hold the page's own text: forms and page headers outside an article;
+adverts, notices, menus, comments and the like by class, id and role (names made of such words only: ``sidebar`` and
+``cookie-notice``, not ``has-sidebar``); hidden elements. Articles and main elements and what holds one always stay,
+and so does a node with most of the page's text outside links, unless an article beside it (or, for comments, around it)
+has a tenth of that. If the cuts would take more than nine tenths of the page's text, densities decide alone.
 
 Defined results: null and empty html, and pages without text, give the empty string; character references are decoded;
 white space inside a block becomes one space; blocks are joined in page order by an empty line; unclosed and stray tags
@@ -30,7 +33,7 @@ ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'=<>/]+)(?:\s*=\s*(\"[^\"]*\"
 
 # fixed values: what the markup standard and common practice give
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
-CUT = RAW | {"nav", "footer", "aside", "form", "button", "select", "option", "svg", "canvas", "object", "audio", "video", "head", "menu", "dialog", "label", "input", "math", "map"}
+CUT = RAW | {"nav", "footer", "aside", "button", "select", "option", "svg", "canvas", "object", "audio", "video", "head", "menu", "dialog", "label", "input", "math", "map"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = {
     "b", "i", "em", "strong", "span", "u", "s", "small", "big", "font", "tt", "code", "kbd", "samp", "var", "sub", "sup", "mark", "q",
@@ -48,30 +51,42 @@ BOILERPLATE = {
     "comments", "reply", "replies", "disqus", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription",
     "popup", "modal", "overlay", "login", "signup", "search", "pagination", "pager", "toolbar", "masthead", "complementary", "contentinfo", "alert",
 }
+READERS = {"comment", "comments", "reply", "replies", "disqus"}
 NAMES = {"class", "id", "role"}
 TOPS = {"article", "main"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "blocks", "chars", "link_chars", "tags", "link_tags", "cut", "top", "density", "inner")
+    __slots__ = ("tag", "parent", "children", "blocks", "chars", "link_chars", "tags", "link_tags", "cut", "top", "density", "inner", "doubt", "post", "holds", "plain", "told")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool):
+    def __init__(self, tag: str, parent: Node | None, cut: bool, doubt: str = ""):
         self.tag, self.parent, self.cut = tag, parent, cut
         self.top = tag in TOPS or (parent is not None and parent.top)  # inside an article
+        self.doubt = doubt  # why it may be unwanted
+        self.post = tag == "article" or (parent is not None and parent.post)
+        self.holds = tag == "main" or (tag == "article" and not parent.post)  # articles in articles are comments and the like
+        self.plain = self.told = 0  # text outside links: of the subtree, of the articles and main elements in it
         self.children: list[Node] = []
         self.blocks: list = []  # text pieces and nodes, in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.inner = 0.0
 
 
-def unwanted(tag: str, attributes: str, article: bool) -> bool:
-    if tag in CUT or (tag == "header" and not article):
-        return True
+def doubtful(tag: str, attributes: str, article: bool) -> str:
+    """Why an element may be unwanted; empty if nothing says so."""
+    if tag == "form" or (tag == "header" and not article):
+        return tag
+    found = ""
     for m in ATTRIBUTE.finditer(attributes):
         name = (m.group(1) or "").lower()  # none for a quoted text without a name
-        if name == "hidden" or (name in NAMES and any(w in BOILERPLATE for w in re.split(r"[^a-z]+", (m.group(2) or "").lower()))):
-            return True
-    return False
+        if name == "hidden":
+            found = found or "named"
+        elif name in NAMES:
+            for token in (m.group(2) or "").strip("\"'").lower().split():
+                words = [w for w in re.split(r"[^a-z]+", token) if w]
+                if words and BOILERPLATE.issuperset(words):
+                    found = "readers" if not READERS.isdisjoint(words) else found or "named"
+    return found
 
 
 def parse(page: str) -> Node:
@@ -117,7 +132,14 @@ def parse(page: str) -> Node:
         if m.group(1):
             if name == "a":
                 links = max(0, links - 1)
-            if name not in INLINE and name not in ("html", "body"):
+            if name in INLINE:
+                depth = len(stack) - 1
+                while stack[depth].tag in INLINE:
+                    if stack[depth].tag == name:
+                        del stack[depth:]
+                        break
+                    depth -= 1
+            elif name not in ("html", "body"):
                 close({name}, {"article", "body"} if name not in ("article", "main", "div", "section") else set())
             continue
         if name in ("html", "body"):
@@ -136,8 +158,13 @@ def parse(page: str) -> Node:
                 text("" if name == "wbr" else " ")
                 if name == "hr" and not parent.cut:
                     parent.blocks.append(None)
-            elif name in INLINE and not parent.cut and unwanted(name, attributes, True):
-                stack.append(Node(name, parent, True))
+            elif name in INLINE and not parent.cut and not attributes.rstrip().endswith("/"):
+                doubt = doubtful(name, attributes, True)
+                if doubt or parent.tag in INLINE:
+                    node = Node(name, parent, False, doubt)
+                    parent.children.append(node)
+                    parent.blocks.append(node)
+                    stack.append(node)
             continue
         links = 0
         if name in BLOCKS_CLOSE_P:
@@ -145,16 +172,66 @@ def parse(page: str) -> Node:
         if name in SAME_CLOSES:
             close(SAME_CLOSES[name], HOLDS[name])
         parent = stack[-1]
-        node = Node(name, parent, parent.cut or unwanted(name, attributes, parent.top))
+        node = Node(name, parent, parent.cut or name in CUT, "" if parent.cut else doubtful(name, attributes, parent.top))
         if not node.cut:
             parent.children.append(node)
             parent.blocks.append(node)
             parent.tags += 1
         if not attributes.rstrip().endswith("/"):
             stack.append(node)
+    settle(root)
     return root
 
 
+def settle(root: Node) -> None:
+    """Cut what is unwanted and doesn't hold the page's own text; inline elements become part of their blocks."""
+    nodes = walk(root)
+    if not any(n.doubt or n.tag in INLINE for n in nodes):
+        return
+    for node in reversed(nodes):
+        node.plain = node.chars - node.link_chars + sum(x.plain for x in node.children)
+        node.told = sum(x.told for x in node.children)
+        if node.holds:
+            node.told = max(node.told, node.plain if node.tag == "article" or not node.told else 0)
+        node.holds = node.holds or any(x.holds for x in node.children)
+
+    def stays(node: Node) -> bool:
+        if node.tag in TOPS or node.holds:
+            return True
+        if node.doubt == "header" or 2 * node.plain <= root.plain:
+            return False
+        around = node.parent
+        while around.parent is not None and around.tag not in TOPS:
+            around = around.parent
+        rest = root.told  # of an article elsewhere on the page, or around the readers' comments
+        if around.tag in TOPS:
+            rest = around.plain - node.plain if node.doubt == "readers" else 0
+        return 10 * rest < node.plain
+
+    gone = {n for n in nodes if n.doubt and not stays(n)}
+    left, todo = 0, [root]
+    while todo:
+        node = todo.pop()
+        left += node.chars - node.link_chars
+        todo.extend(x for x in node.children if x not in gone)
+    if 10 * left < root.plain:
+        gone = {n for n in gone if n.doubt == "header"}
+    for node in reversed(nodes):
+        merged = [x for x in node.children if x.tag in INLINE and x not in gone]
+        node.tags -= sum(x.tag not in INLINE for x in node.children if x in gone)
+        if not merged and gone.isdisjoint(node.children):
+            continue
+        for child in merged:
+            node.chars += child.chars
+            node.link_chars += child.link_chars
+            node.tags += child.tags
+            node.link_tags += child.link_tags
+            for x in child.children:
+                x.parent = node
+        node.children = [y for x in node.children if x not in gone for y in (x.children if x.tag in INLINE else [x])]
+        node.blocks = [y for x in node.blocks if x not in gone for y in (x.blocks if isinstance(x, Node) and x.tag in INLINE else [x])]
+
+
 def walk(root: Node) -> list[Node]:
     """All nodes, parents first."""
     out = [root]
