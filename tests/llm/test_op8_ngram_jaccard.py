@@ -127,3 +127,9 @@ def test_odd_tables(spark, docs, nothing):
     found = sorted(components(docs).collect())
     assert [(r.id, r.component) for r in found] == [(1, 1), (2, 2), (3, 3), (4, 1), (4, 1), (5, 5), (6, 6)]
     assert components(nothing).count() == 0
+
+
+def test_rows_of_a_repeated_id_belong_together(spark):
+    rows = [(1, "a b c d e f"), (5, "a b c d e f"), (3, "p q r s t u"), (5, "p q r s t u"), (5, None), (6, "k l m n o p"), (7, None)]
+    found = components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.id, r.component) for r in found.collect()) == [(1, 1), (3, 1), (5, 1), (5, 1), (5, 1), (6, 6), (7, 7)]

@@ -273,7 +273,11 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
 def components(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """One row per document: ``id``, ``n_shingles``, ``component`` (the smallest id reachable by links)."""
     rows, firsts, links = link_sets(df, key, text, percent, width)
-    found = connected_components(links)
+    # the sets of an id that repeats with different texts are linked through it
+    repeated = rows.select("id", "name").distinct().groupBy("id").count().where("count > 1").select("id")
+    repeated = materialize(rows.join(repeated, "id", "left_semi").join(firsts, "name").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
+    found = connected_components(links.select("a", "b").unionByName(repeated))
     named = firsts.join(found, firsts["first"] == found["node"], "left").select("name", F.coalesce("component", "first").alias("of_set"))
-    result = rows.join(named, "name", "left")
-    return result.select("id", F.col("n").alias("n_shingles"), F.coalesce("of_set", "id").alias("component"))
+    through = found.join(repeated.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("id"), F.col("component").alias("of_id"))
+    result = rows.join(named, "name", "left").join(through, "id", "left")
+    return result.select("id", F.col("n").alias("n_shingles"), F.coalesce("of_set", "of_id", "id").alias("component"))
