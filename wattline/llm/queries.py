@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.llm.common import in_fold, table
+from wattline.llm.oracles import ORACLES
 
+__all__ = ["ORACLES", "QUERIES"]
 MODEL = "piece_bpe_32k.model"
 
 
@@ -90,6 +92,33 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), model_path(), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quotation_links, op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op8_ngram_jaccard, op9_token_counts, op10_sentencepiece)}
-#: Most of these are learned, tokenized, aligned or parsed; tests hold them against brute force or exact round trips.
-ORACLES: dict[str, str] = {}
+def op11_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op11_license_templates import joined_labels, scan_licenses
+
+    found = scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = F.filter("matches", lambda m: m["phrase"])
+    starts = F.transform(base, lambda m: m["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined_labels(base).alias("base_labels"), joined_labels(F.col("matches")).alias("labels"), F.col("coverage").alias("score"),
+        F.exists("matches", lambda m: m["whole"]).alias("whole"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op12_fill_in_middle import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wattline.llm.op13_importance_resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quotation_links, op3_toxicity, op4_html_text, op5_language_id, op6_quality, op7_hilbert_ann, op8_ngram_jaccard, op9_token_counts, op10_sentencepiece, op11_license_templates, op12_fill_in_middle, op13_importance_resampling)}
