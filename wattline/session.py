@@ -73,8 +73,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scratch.pop():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _delete(spark, path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -88,4 +87,17 @@ def materialize(df: DataFrame) -> DataFrame:
     if _scratch:
         _scratch[-1].append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned, once nothing reads them any more."""
+    for table in tables:
+        _delete(table.sparkSession, table.stored_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
