@@ -70,6 +70,54 @@ def test_all_links_in_small_blocks(spark, rows):
     assert {tuple(sorted((r.a, r.b))): r.overlap for r in found.collect()} == wanted
 
 
+@pytest.mark.parametrize(("percent", "width", "block", "cells"), [(90, 3, 7, 400_000), (80, 5, 2, 120)])
+def test_families_of_many_blocks(spark, rows, percent, width, block, cells):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    _, _, roots = truth(rows, percent, width)
+    assert {r.id: r.component for r in components(df, "doc_id", "text", percent, width, block, cells).collect()} == roots
+
+
+def test_a_family_of_five_thousand(spark, edits=9):
+    """Each text edited on its own: linked in part."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 10_000, 150)
+    rows = []
+    for i in range(5000):
+        text = base.copy()
+        text[rng.choice(150, rng.integers(0, edits), replace=False)] = rng.integers(10_000, 10**8)
+        rows.append((i, " ".join(map(str, text))))
+    codes, sets = {}, []
+    for _, t in rows:
+        w = t.split()
+        sets.append({codes.setdefault(tuple(w[k : k + 3]), len(codes)) for k in range(148)})
+    incidence = np.zeros((5000, len(codes)), np.float32)
+    for i, x in enumerate(sets):
+        incidence[i, list(x)] = 1
+    often = incidence[:, incidence.sum(axis=0) > 1]
+    overlap, n = often @ often.T, incidence.sum(axis=1)
+    linked = 100 * overlap >= 90 * (n[:, None] + n[None, :] - overlap)
+    root, left = np.full(5000, -1), set(range(5000))
+    while left:
+        todo = [min(left)]
+        first = todo[0]
+        while todo:
+            x = todo.pop()
+            if x in left:
+                left.discard(x)
+                root[x] = first
+                todo += [y for y in np.flatnonzero(linked[x]).tolist() if y in left]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {r.id: r.component for r in components(df).collect()}
+    assert found == dict(enumerate(root.tolist()))
+
+
+def test_rows_without_an_id(spark):
+    rows = [(None, "a b c d e f"), (None, "A b c d e f"), (3, "p q r s t u"), (None, "p q r s t u"), (None, None), (-4, "k l m n o p"), (None, "k l m n o p"), (None, "y y y z")]
+    found = components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(((r.id, r.n_shingles, r.component) for r in found), key=repr) == sorted(
+        [(None, 4, None), (None, 4, None), (3, 4, 3), (None, 4, 3), (None, 0, None), (-4, 4, -4), (None, 4, -4), (None, 2, None)], key=repr)
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90, 95])
 def test_bounds(percent):
     bound, rng = Bound(percent), np.random.default_rng(0)
@@ -124,8 +172,8 @@ def test_components(spark):
 
 
 def test_odd_tables(spark, docs, nothing):
-    found = sorted(components(docs).collect())
-    assert [(r.id, r.component) for r in found] == [(1, 1), (2, 2), (3, 3), (4, 1), (4, 1), (5, 5), (6, 6)]
+    found = sorted(components(docs).collect(), key=lambda r: (r.id is None, r.id))
+    assert [(r.id, r.component) for r in found] == [(1, 1), (2, 2), (3, 3), (4, 1), (4, 1), (5, 5), (6, 6), (None, None)]
     assert components(nothing).count() == 0
 
 

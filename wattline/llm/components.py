@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from wattline.session import materialize
+from wattline.session import discard, materialize
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -22,15 +22,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(links.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        old, least = links, materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         large = materialize(large)
+        discard(old, least)
         least = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")))
         small = large.join(least, "hi").select(F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo"))
         seen = Observation()
         small = small.where("hi <> lo").distinct()
         links = materialize(small.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")))
         now = seen.get
+        discard(large, least)
         if now == before:
             break
         before = now

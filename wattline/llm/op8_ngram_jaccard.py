@@ -10,17 +10,21 @@
    empty on both sides says nothing: there are spare parts for that, and sets with more empty parts than those also get,
    for each, the shared-front shingles in its place.
    Rows with a common signature belong to one family; families are the connected components of these links.
-3. The rows of a family are cut into blocks of one size level each. For each pair of blocks whose levels permit the
-   threshold, a product of the two sparse blocks accumulates the overlap counts, column range by column range; pairs
-   below the overlap that their sizes demand are discarded. What is left are the links; a block pair returns those that
-   join its rows (a spanning forest), or all.
+3. Products of two sparse blocks of rows accumulate overlap counts, column range by column range; pairs below the overlap
+   that their sizes demand are discarded, and what is left are the links. A family that fits in one block is one product.
+   A larger one is cut into blocks of one size level, and first each block is multiplied with itself and a few pivot rows
+   of the family, so a row is sent once. What that joins is one component from then on. Then only rows that share a
+   signature with a row of another component take part: their families are formed anew, and all pairs of their blocks are
+   multiplied whose levels permit the threshold, but no block of the main component with another of it.
+   A product returns links that join its rows (a spanning forest), or all.
 4. Components of the links, carried back to every document.
 
 Signatures and equal sets rest on 64- and 128-bit hashes of whole texts; every link is decided on the sets themselves.
 
 Defined results: null and empty texts, and texts without words, have no shingles and link with nothing; a text shorter
 than a shingle is one shingle; texts of any length are used whole; rows that repeat an id keep one result row each, with
-the set of their own text, and belong together; rows without an id are left out.
+the set of their own text, and belong together; rows without an id take part by their text, and their component is the
+smallest id they reach, if any.
 """
 
 from __future__ import annotations
@@ -29,14 +33,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import map_texts
 from wattline.llm.components import connected_components
-from wattline.session import materialize
+from wattline.session import discard, materialize
 
 MIX1, MIX2, MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+#: Rows of a part of a family that are compared with all others, before blocks are.
+PIVOTS = 4
 S29, S32 = np.uint64(29), np.uint64(32)
 
 
@@ -192,13 +198,125 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], same: bool, bou
     return a, b, count[a, b]
 
 
+def _numbers(spread: DataFrame, node: str, sign: str) -> DataFrame:
+    """Links between rows that share a signature: each to the smallest of its signature."""
+    met = spread.groupBy(sign).agg(F.min(node).alias("low"), F.max(node).alias("high")).where("low < high").select(sign, "low")
+    return spread.join(met, sign).where(F.col(node) != F.col("low")).select(F.col(node).alias("a"), F.col("low").alias("b"))
+
+
+def _families(links: DataFrame) -> DataFrame:
+    return connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("family"))
+
+
+def _upto(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _cell(part1: Column, cut1: Column, part2: Column, cut2: Column) -> Column:
+    return F.struct(part1.alias("part1"), cut1.alias("cut1"), part2.alias("part2"), cut2.alias("cut2"))
+
+
+def _cuts(rows: DataFrame, block: int, block_cells: int) -> DataFrame:
+    """Rows (``family``, ``part``, ``n``) with the number of blocks of every part of their family, and their own block."""
+    counts = rows.groupBy("family", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("cells"))
+    counts = counts.withColumn("cuts", F.greatest(F.ceil(F.col("rows") / block), F.ceil(F.col("cells") / block_cells)))
+    cuts = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("part", "cuts"))).alias("cuts"))
+    return rows.join(cuts, "family").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")[F.col("part")]))
+
+
+def _with_blocks_of(part: Column, cell) -> Column:
+    """The cells that ``cell(part, number of the block)`` names for every block of a part of the family."""
+    n = F.coalesce(F.col("cuts")[part], F.lit(0).cast("bigint"))
+    return F.transform(_upto(n), lambda x: cell(part, x))
+
+
+class Product:
+    """Products of blocks of the stored sets ``again`` (``id``, ``name``, ``shingles``)."""
+
+    def __init__(self, again: DataFrame, bound: Bound, all_links: bool):
+        self.again, self.bound, self.all_links = again, bound, all_links
+
+    def links(self, tasks: DataFrame) -> DataFrame:
+        """Links in the cells of ``tasks``: a row's ``id``, ``name``, ``family``, its ``own`` block and a cell it takes part in.
+
+        A cell with one block compares all its rows with each other, one with two blocks those of one with those of the other.
+        """
+        bound, all_links = self.bound, self.all_links
+        work = self.again.select("id", "name", "shingles").join(tasks, ["id", "name"]).select("id", "shingles", "family", "cell.*", "own.*")
+
+        def multiply(part: pa.Table) -> pa.Table:
+            ids, packed = np.asarray(part.column("id")), part.column("shingles").to_pylist()
+            own = np.stack([np.asarray(part.column(c)) for c in ("part", "cut")])
+            i, j = ((part.column(f"part{x}")[0].as_py(), part.column(f"cut{x}")[0].as_py()) for x in (1, 2))
+            order = np.argsort(ids, kind="stable")
+            if i == j:
+                left = right = order
+            else:
+                left, right = (order[(own[0, order] == x[0]) & (own[1, order] == x[1])] for x in (i, j))
+            unpack = lambda at: [np.frombuffer(packed[x], np.uint64) for x in at]
+            a, b, overlap = block_links(unpack(left), unpack(right), i == j, bound) if len(left) and len(right) else (np.zeros(0, int),) * 3
+            if not all_links and len(a):
+                keep = _forest(left[a], right[b], len(ids))
+                a, b, overlap = a[keep], b[keep], overlap[keep]
+            return pa.table({"a": ids[left[a]], "b": ids[right[b]], "overlap": overlap.astype(np.int64)})
+
+        return work.groupBy("family", "part1", "cut1", "part2", "cut2").applyInArrow(multiply, "a bigint, b bigint, overlap bigint")
+
+    def all_pairs(self, rows: DataFrame, block: int, block_cells: int) -> DataFrame:
+        """Links of all rows of a family (``id``, ``name``, ``family``, ``level``, ``n``, ``kind``), but none between rows of kind 1.
+
+        A part of a family is a size level and a kind; parts meet whose levels permit a link.
+        """
+        numbers = _cuts(rows.withColumn("part", 2 * F.col("level") + F.col("kind")), block, block_cells)
+        part, own = F.col("part"), F.col("cut")
+        meets = [
+            # kind 0: the same part, then the next and the last level's, then kind 1 at the three levels
+            _with_blocks_of(part, lambda to, x: _cell(part, F.least(x, own), part, F.greatest(x, own))),
+            _with_blocks_of(part + 2, lambda to, x: _cell(part, own, to, x)),
+            _with_blocks_of(part - 2, lambda to, x: _cell(to, x, part, own)),
+            *[_with_blocks_of(part + d, lambda to, x: _cell(part, own, to, x)) for d in (-1, 1, 3)],
+        ]
+        others = [_with_blocks_of(part - d, lambda to, x: _cell(to, x, part, own)) for d in (-1, 1, 3)]
+        cells = F.when(F.col("kind") == 0, F.concat(*meets)).otherwise(F.concat(*others))
+        return self.links(numbers.select("id", "name", "family", F.struct("part", "cut").alias("own"), F.explode(cells).alias("cell")))
+
+    def blocks_alone(self, rows: DataFrame, block: int, block_cells: int) -> DataFrame:
+        """Links inside blocks, and of every block's rows with ``PIVOTS`` rows of each neighbouring part of the family."""
+        numbers = _cuts(rows.withColumn("part", F.col("level")), block, block_cells)
+        part, own = F.col("part"), F.col("cut")
+        dealt = numbers.select("id", "name", "family", F.struct("part", "cut").alias("own"), _cell(part, own, part, own).alias("cell"))
+        picked = [F.min(F.struct(F.xxhash64(F.lit(i), "id", "name"), "id", "name")).alias(f"p{i}") for i in range(PIVOTS)]
+        pivots = numbers.groupBy("family", "part").agg(*picked, F.first("cuts").alias("cuts"))
+        pivots = pivots.select("family", "part", "cuts", F.explode(F.array_distinct(F.array(*[F.struct(f"p{i}.id", f"p{i}.name") for i in range(PIVOTS)]))).alias("pivot"))
+        pivots = pivots.select("family", "part", "cuts", "pivot.*").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")[part]))
+        other = F.filter(
+            F.flatten(F.array(*[_with_blocks_of(part + d, lambda to, x: _cell(to, x, to, x)) for d in (-1, 0, 1)])),
+            lambda c: (c["part1"] != part) | (c["cut1"] != own))
+        sent = pivots.select("id", "name", "family", F.struct("part", "cut").alias("own"), F.explode(other).alias("cell"))
+        return self.links(dealt.unionByName(sent))
+
+    def links_of(self, rows: DataFrame, block: int, block_cells: int, full: bool) -> tuple[DataFrame, DataFrame]:
+        """Links of families (``id``, ``name``, ``family``, ``level``, ``n``, ``kind``), and the rows whose pairs aren't all decided yet."""
+        sizes = rows.groupBy("family").agg(F.count("*").alias("rows"), F.sum("n").alias("cells"))
+        small = ((F.col("rows") <= block) & (F.col("cells") <= block_cells)).alias("small")
+        rows = materialize(rows.join(sizes.select("family", small), "family"))
+        none = F.lit(0).cast("bigint")
+        at_once = rows.where("small").select(
+            "id", "name", "family", F.struct(none.alias("part"), none.alias("cut")).alias("own"), _cell(none, none, none, none).alias("cell"))
+        large = rows.where("NOT small").drop("small")
+        found = self.all_pairs(large, block, block_cells) if full else self.blocks_alone(large, block, block_cells)
+        return materialize(self.links(at_once).unionByName(found).distinct()), large
+
+
 def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int = 3, block: int = 512, block_cells: int = 400_000, all_links: bool = False):
-    """Rows (``id``, ``n``, ``name``), and links (``a``, ``b``: smallest ids of linked sets, ``overlap``).
+    """Rows (``id``, ``n``, ``name``), sets (``name``, ``first``: smallest id), and links (``a``, ``b``: firsts of linked sets, ``overlap``).
 
-    A block holds about ``block`` rows and ``block_cells`` shingles at most. With ``all_links`` every linked pair of different sets is returned, else a spanning forest of each block pair.
+    A block holds about ``block`` rows and ``block_cells`` shingles at most. With ``all_links`` every linked pair of different
+    sets is returned, else enough of them to join what is linked. A set that only rows without an id have gets a first of
+    its own, below all ids.
     """
     bound = Bound(percent)
-    source = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("id IS NOT NULL")
+    source = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
 
     def describe(texts):
         sets = shingle_sets(texts, width)
@@ -206,17 +324,28 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
         return {"n": [len(x) for x in sets], "name": [row_name(x) for x in sets], "front": fronts, "needed": [bound.needed(len(x)) for x in sets]}
 
     described = materialize(map_texts(source, "text", "n bigint, name binary, front array<bigint>, needed bigint", describe, ["id"]))
-    rows = described.select("id", "n", "name")
-    firsts = materialize(described.where("n > 0").groupBy("name").agg(F.min("id").alias("first")))
-    once = described.where("n > 0").join(firsts.select(F.col("first").alias("id"), "name"), ["id", "name"], "left_semi")
+    rows = materialize(described.select("id", "n", "name"))
+    firsts = materialize(rows.where("n > 0").groupBy("name").agg(F.min("id").alias("first"), F.count("*").alias("rows")))
+    nameless = firsts.where("first IS NULL")
+    nameless = None if nameless.isEmpty() else nameless
+    if nameless is not None:
+        below = F.lit(_lowest(rows) - 1) - F.monotonically_increasing_id()
+        nameless = materialize(nameless.select("name", below.alias("first"), "rows"))
+        firsts = materialize(firsts.where("first IS NOT NULL").unionByName(nameless))
+    of_set = firsts.select(F.col("first").alias("id"), "name")
+    once = described.where("n > 0").select("name", "needed", "front", "id")
+    named = once.join(of_set, ["id", "name"], "left_semi")
+    if nameless is not None:
+        named = named.unionByName(once.where("id IS NULL").drop("id").join(of_set, "name").where(F.col("id") < _lowest(rows)))
 
     # Fronts are compared by so many leading bits that few differ and agree: agreeing by chance only keeps a row more.
     total = described.agg(F.sum(F.size("front")).alias("s")).first()["s"] or 1
     drop = max(0, 64 - max(32, int(total).bit_length() + 7))
-    fronts = once.select("id", "needed", F.explode("front").alias("x")).select("id", "needed", F.shiftright("x", drop).alias("x"))
+    fronts = named.select("id", "needed", F.explode("front").alias("x")).select("id", "needed", F.shiftright("x", drop).alias("x"))
     shared = fronts.groupBy("x").agg(F.count("*").alias("c")).where("c > 1").select("x")
     kept = fronts.join(shared, "x").groupBy("id", "needed").agg(F.count("*").alias("c")).where("c >= needed").select("id")
     kept = materialize(kept.distinct())
+    discard(described)
 
     def sets(texts):
         found = shingle_sets(texts, width)
@@ -226,58 +355,56 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
         }
 
     schema = "name binary, n bigint, level bigint, signs array<bigint>, shingles binary"
-    again = map_texts(source.join(kept, "id"), "text", schema, sets, ["id"]).join(firsts.select(F.col("first").alias("id"), "name"), ["id", "name"], "left_semi")
-    again = materialize(again.dropDuplicates(["id", "name"]))
-    spread = again.select("id", F.explode("signs").alias("sign"))
-    met = spread.groupBy("sign").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("sign", "low")
-    meets = spread.join(met, "sign").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
-    family = materialize(connected_components(meets).select(F.col("node").alias("id"), F.col("component").alias("family")))
-
-    # Blocks: a family's rows of one size level, dealt out by hash; a block meets those of its level and of the next.
-    sized = again.select("id", "name", "level", "n").join(family, "id")
-    counts = sized.groupBy("family", "level").agg(F.count("*").alias("rows"), F.sum("n").alias("cells"))
-    counts = counts.withColumn("cuts", F.greatest(F.ceil(F.col("rows") / block), F.ceil(F.col("cells") / block_cells)))
-    cuts = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("level", "cuts"))).alias("cuts"))
-    numbers = sized.join(materialize(cuts), "family")
-    at = lambda level: F.coalesce(F.col("cuts")[level], F.lit(0).cast("bigint"))
-    level, own = F.col("level"), F.pmod(F.xxhash64("id"), F.col("cuts")[F.col("level")])
-    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
-    cell = lambda a, i, b, j: F.struct(a.alias("level1"), i.alias("cut1"), b.alias("level2"), j.alias("cut2"))
-    meets = F.concat(
-        F.transform(upto(at(level)), lambda x: cell(level, F.least(x, own), level, F.greatest(x, own))),
-        F.transform(upto(at(level + 1)), lambda x: cell(level, own, level + 1, x)),
-        F.transform(upto(at(level - 1)), lambda x: cell(level - 1, x, level, own)),
-    )
-    tasks = materialize(numbers.select("id", "name", "family", level.alias("own_level"), own.alias("own_cut"), F.explode(meets).alias("cell")))
-
-    work = again.select("id", "name", "shingles").join(tasks, ["id", "name"])
-    work = work.select("id", "shingles", "family", "cell.*", "own_level", "own_cut")
-
-    def multiply(part: pa.Table) -> pa.Table:
-        ids, packed = np.asarray(part.column("id")), part.column("shingles").to_pylist()
-        own = np.stack([np.asarray(part.column(c)) for c in ("own_level", "own_cut")])
-        i, j = ((part.column(f"level{x}")[0].as_py(), part.column(f"cut{x}")[0].as_py()) for x in (1, 2))
-        order = np.argsort(ids, kind="stable")
-        left, right = (order[(own[0, order] == x[0]) & (own[1, order] == x[1])] for x in (i, j))
-        unpack = lambda at: [np.frombuffer(packed[x], np.uint64) for x in at]
-        a, b, overlap = block_links(unpack(left), unpack(right), i == j, bound) if len(left) and len(right) else (np.zeros(0, int),) * 3
-        if not all_links and len(a):
-            keep = _forest(left[a], right[b], len(ids))
-            a, b, overlap = a[keep], b[keep], overlap[keep]
-        return pa.table({"a": ids[left[a]], "b": ids[right[b]], "overlap": overlap.astype(np.int64)})
-
-    links = work.groupBy("family", "level1", "cut1", "level2", "cut2").applyInArrow(multiply, "a bigint, b bigint, overlap bigint")
-    return rows, firsts, links.distinct()
-
-
-def components(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
+    again = map_texts(source.join(kept, "id"), "text", schema, sets, ["id"]).join(of_set, ["id", "name"], "left_semi")
+    if nameless is not None:
+        others = map_texts(source.where("id IS NULL"), "text", schema, sets, ["id"]).drop("id").join(nameless.select("name", F.col("first").alias("id")), "name")
+        again = again.unionByName(others.join(kept, "id", "left_semi"))
+    if not rows.where("n > 0").groupBy("id", "name").count().where("count > 1").isEmpty():
+        again = again.dropDuplicates(["id", "name"])
+    again = materialize(again)
+    product = Product(again, bound, all_links)
+    narrow = again.select("id", "name", "level", "n")
+
+    family = _families(_numbers(again.select("id", F.explode("signs").alias("sign")), "id", "sign"))
+    links, large = product.links_of(narrow.join(family, "id").withColumn("kind", F.lit(0)), block, block_cells, all_links)
+    if all_links or large.isEmpty():
+        discard(kept, *([] if all_links else [again]))
+        return rows, firsts, links
+
+    # What is linked by now is one component. Pairs of two components are compared where rows of both share a signature.
+    joined = connected_components(links).select(F.col("node").alias("id"), "component")
+    undecided = large.drop("family", "kind").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    spread = undecided.select("id", "name", "component").join(again.select("id", "name", "signs"), ["id", "name"])
+    spread = spread.select("id", "component", F.explode("signs").alias("sign"))
+    met = spread.groupBy("sign").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sign")
+    family = _families(_numbers(materialize(spread.join(met, "sign").select("id", "sign")), "id", "sign"))
+    undecided = materialize(undecided.join(family, "id"))
+    sizes = undecided.groupBy("family", "component").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("family").agg(F.max_by("component", F.struct("rows", "component")).alias("main"))
+    undecided = undecided.join(main, "family").withColumn("kind", (F.col("component") == F.col("main")).cast("int"))
+    more, _ = product.links_of(undecided.drop("component", "main"), block, block_cells, True)
+    links = materialize(links.unionByName(more).distinct())
+    discard(kept, again)
+    return rows, firsts, links
+
+
+def _lowest(rows: DataFrame) -> int:
+    return rows.agg(F.least(F.min("id"), F.lit(0)).alias("x")).first()["x"] or 0
+
+
+def components(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 90, width: int = 3, block: int = 512, block_cells: int = 400_000) -> DataFrame:
     """One row per document: ``id``, ``n_shingles``, ``component`` (the smallest id reachable by links)."""
-    rows, firsts, links = link_sets(df, key, text, percent, width)
+    rows, firsts, links = link_sets(df, key, text, percent, width, block, block_cells)
     # the sets of an id that repeats with different texts are linked through it
-    repeated = rows.select("id", "name").distinct().groupBy("id").count().where("count > 1").select("id")
+    repeated = rows.where("id IS NOT NULL").select("id", "name").distinct().groupBy("id").count().where("count > 1").select("id")
     repeated = materialize(rows.join(repeated, "id", "left_semi").join(firsts, "name").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
     found = connected_components(links.select("a", "b").unionByName(repeated))
-    named = firsts.join(found, firsts["first"] == found["node"], "left").select("name", F.coalesce("component", "first").alias("of_set"))
+    named = firsts.join(found, firsts["first"] == found["node"], "left").select("name", "first", F.coalesce("component", "first").alias("of_set"))
+    lowest = _lowest(rows)
+    if not firsts.where(F.col("first") < lowest).isEmpty():
+        real = named.groupBy("of_set").agg(F.min(F.when(F.col("first") >= lowest, F.col("first"))).alias("real"))
+        named = named.join(real, "of_set").select("name", F.col("real").alias("of_set"))
+    named = named.select("name", "of_set")
     through = found.join(repeated.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("id"), F.col("component").alias("of_id"))
     result = rows.join(named, "name", "left").join(through, "id", "left")
     return result.select("id", F.col("n").alias("n_shingles"), F.coalesce("of_set", "of_id", "id").alias("component"))
