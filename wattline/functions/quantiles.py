@@ -2,9 +2,11 @@
 
 Spark's ``percentile`` keeps a group's distinct values in one task. That is
 fine for a meter-year; for a group of unbounded size the wanted ranks are
-located by counting instead: values are counted in coarse order-preserving
-bins, the bin with the rank is counted in fine bins, and only the values of
-that fine bin are ranked. Every step aggregates map-side before it shuffles.
+selected digit by digit: a double is mapped to a 64-bit integer of the same
+order, and four passes count its 16-bit digits, each only among the values that
+agree with a wanted rank so far. What is shuffled is at most 65,536 counts per
+group, wanted prefix and task, combined map-side, never a value; what passes
+from one pass to the next is one row per group and wanted prefix.
 """
 
 from __future__ import annotations
@@ -16,10 +18,9 @@ from pyspark.sql import functions as F
 
 from wattline.functions.groups import LongGroups, find_long_groups, join_groups
 from wattline.schemas import KEYS
-from wattline.session import materialize
 
-COARSE_BINS = 64
-FINE_BINS = 4096
+DIGIT_BITS, CODE_BITS = 16, 64
+_FRACTION_BITS, _BIAS, _LOWEST = 52, 1023, -1022
 
 
 def group_quantiles(
@@ -45,76 +46,85 @@ def _direct(df: DataFrame, keys: list[str], probabilities: dict[str, float]) ->
     ])
 
 
-def _coarse(value: Column) -> Column:
-    """Order-preserving bin: equal steps of the logarithm on either side of zero."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value) * 1000) * COARSE_BINS)).cast("long")
-
-
-def _fine(value: Column) -> Column:
-    width = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
-    share = F.coalesce((value - F.col("_low")) / width, F.lit(0.0))
-    return F.floor(share * FINE_BINS).cast("long")
+def order_code(value: Column) -> Column:
+    """A 64-bit integer with the order of a double, both zeros alike, NaN above all: its bits, negated below zero."""
+    x = F.abs(value)
+    guess = F.floor(F.log2(x)).cast("int")
+    # the logarithm may be off by one next to a power of two
+    exact = guess + F.when(x >= F.pow(F.lit(2.0), guess + 1), 1).when(x < F.pow(F.lit(2.0), guess), -1).otherwise(0)
+    exponent = F.greatest(exact, F.lit(_LOWEST))
+    scaled = x / F.pow(F.lit(2.0), exponent)
+    biased = F.when(scaled >= 1, exponent + _BIAS).otherwise(0).cast("long")
+    fraction = (F.when(scaled >= 1, scaled - 1).otherwise(scaled) * float(1 << _FRACTION_BITS)).cast("long")
+    largest = F.lit((2 * _BIAS + 1) << _FRACTION_BITS)
+    bits = (
+        F.when(x == 0, F.lit(0).cast("long")).when(F.isnan(x), largest + 1).when(x == float("inf"), largest)
+        .otherwise(F.shiftleft(biased, _FRACTION_BITS) + fraction)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def code_value(code: Column) -> Column:
+    """The double of an order code."""
+    bits = F.abs(code)
+    biased = F.shiftright(bits, _FRACTION_BITS)
+    fraction = bits.bitwiseAND(F.lit((1 << _FRACTION_BITS) - 1)).cast("double")
+    size = (
+        F.when(biased == 0, fraction * F.pow(F.lit(2.0), F.lit(_LOWEST - _FRACTION_BITS)))
+        .when(biased > 2 * _BIAS, F.when(fraction > 0, F.lit(float("nan"))).otherwise(F.lit(float("inf"))))
+        .otherwise((fraction / float(1 << _FRACTION_BITS) + 1) * F.pow(F.lit(2.0), biased - _BIAS))
+    )
+    return F.when(code < 0, -size).otherwise(size)
 
 
-def _locate(counts: DataFrame, wanted: DataFrame, by: list[str], step: str, kept: list[str]) -> DataFrame:
-    """Ranks in ``wanted`` with the row of ``counts`` that holds them."""
-    in_order = Window.partitionBy(*by).orderBy(step)
-    counts = counts.withColumn(
-        "_below",
-        F.coalesce(F.sum("_count").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
-    inside = (F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_count"))
-    return join_groups(wanted, counts, by).where(inside).select(
-        *by, step, *kept, (F.col("_rank") - F.col("_below")).alias("_rank"))
+def _asked(total: Column, probabilities: dict[str, float]) -> Column:
+    """The two ranks (from 0) each quantile lies between, and how far it is from the lower one."""
+    last = total - 1
+    return F.array(*[
+        F.struct(
+            F.lit(name).alias("name"), F.lit(side).alias("side"), (last * p - F.floor(last * p)).alias("share"),
+            (F.floor(last * p) if side == 0 else F.ceil(last * p)).cast("long").alias("rank"))
+        for name, p in probabilities.items() for side in (0, 1)
+    ])
 
 
 def _by_counting(df: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """Reads ``df`` once per digit; store it first if it is costly to compute."""
     # A constant stands in for the keys of an ungrouped quantile.
     by = keys or ["_all"]
-    if not keys:
-        df = df.withColumn("_all", F.lit(0))
-    # Read by all three steps, so it is stored once.
-    values = materialize(
-        df.where(F.col("_value").isNotNull())
-        .groupBy(*by, "_value").agg(F.count(F.lit(1)).alias("_count"))
-        .withColumn("_bin", _coarse(F.col("_value")))
-    )
-    bins = values.groupBy(*by, "_bin").agg(
-        F.sum("_count").alias("_count"), F.min("_value").alias("_low"), F.max("_value").alias("_high"))
-
-    last = F.col("_total") - 1
-    ranks = F.array(*[
-        F.struct(F.lit(name).alias("_name"), F.lit(side).alias("_side"),
-                 (F.floor(last * p) if side == 0 else F.ceil(last * p)).cast("long").alias("_rank"),
-                 (last * p - F.floor(last * p)).alias("_share"))
-        for name, p in probabilities.items() for side in (0, 1)
-    ])
-    wanted = (
-        bins.groupBy(*by).agg(F.sum("_count").alias("_total"))
-        .select(*by, F.inline(ranks))
-    )
-    carried = ["_name", "_side", "_share"]
-    in_bin = materialize(_locate(bins, wanted, by, "_bin", [*carried, "_low", "_high"]))
-
-    borders = in_bin.select(*by, "_bin", "_low", "_high").distinct()
-    fine_values = join_groups(values, borders, [*by, "_bin"]).withColumn("_part", _fine(F.col("_value")))
-    parts = fine_values.groupBy(*by, "_bin", "_part").agg(F.sum("_count").alias("_count"))
-    in_part = materialize(
-        _locate(parts, in_bin.select(*by, "_bin", *carried, "_rank"), [*by, "_bin"], "_part", carried))
-
-    narrowed = join_groups(fine_values, in_part.select(*by, "_bin", "_part").distinct(), [*by, "_bin", "_part"])
-    found = _locate(
-        narrowed.select(*by, "_bin", "_part", "_value", "_count"), in_part,
-        [*by, "_bin", "_part"], "_value", carried)
-
-    ends = found.groupBy(*by, "_name").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_value"))).alias("_lower"),
-        F.max(F.when(F.col("_side") == 1, F.col("_value"))).alias("_upper"),
-        F.max("_share").alias("_share"),
-    ).withColumn(
-        "_quantile", F.when(F.col("_lower") == F.col("_upper"), F.col("_lower"))
-        .otherwise((1 - F.col("_share")) * F.col("_lower") + F.col("_share") * F.col("_upper")))
-    result = ends.groupBy(*by).agg(*[
-        F.max(F.when(F.col("_name") == name, F.col("_quantile"))).alias(name) for name in probabilities
+    codes = df.where(F.col("_value").isNotNull()).select(
+        *(keys or [F.lit(0).alias("_all")]), order_code(F.col("_value")).alias("_code"))
+    found = None
+    for shift in range(CODE_BITS - DIGIT_BITS, -1, -DIGIT_BITS):
+        digit = F.shiftright("_code", shift)
+        if found is None:
+            # the first digit keeps the sign, so that its order is that of the codes
+            counts = codes.groupBy(*by, digit.alias("_digit")).agg(F.count(F.lit(1)).alias("_count"))
+            group = Window.partitionBy(*by)
+            counts = counts.withColumn("_asks", _asked(F.sum("_count").over(group), probabilities))
+        else:
+            rows = codes.withColumn("_prefix", F.shiftright("_code", shift + DIGIT_BITS))
+            rows = join_groups(rows, found, [*by, "_prefix"]).withColumn("_digit", digit)
+            counts = rows.groupBy(*by, "_prefix", "_digit").agg(
+                F.count(F.lit(1)).alias("_count"), F.any_value("_asks").alias("_asks"))
+            group = Window.partitionBy(*by, "_prefix")
+        before = group.orderBy("_digit").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_below", F.coalesce(F.sum("_count").over(before), F.lit(0)))
+        found = counts.select(*by, F.col("_digit").alias("_prefix"), _inside().alias("_asks")).where(F.size("_asks") > 0)
+    value = code_value(F.col("_prefix"))
+    ends = found.select(*by, "_prefix", F.inline("_asks")).groupBy(*by).agg(*[
+        F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.struct(value.alias("v"), "share"))).alias(f"_{name}_{side}")
+        for name in probabilities for side in (0, 1)
     ])
+    result = ends.select(*by, *[_between(F.col(f"_{name}_0"), F.col(f"_{name}_1")).alias(name) for name in probabilities])
     return result if keys else result.drop("_all")
+
+
+def _inside() -> Column:
+    """The asked ranks that lie among a digit's values, counted from the first of these."""
+    here = F.filter("_asks", lambda a: (a["rank"] >= F.col("_below")) & (a["rank"] < F.col("_below") + F.col("_count")))
+    return F.transform(here, lambda a: a.withField("rank", a["rank"] - F.col("_below")))
+
+
+def _between(low: Column, high: Column) -> Column:
+    return F.when(low["v"] == high["v"], low["v"]).otherwise((1 - low["share"]) * low["v"] + low["share"] * high["v"])
