@@ -166,9 +166,10 @@ def test_components(spark):
     for a, b in edges:
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
-    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
-    assert found == {n: find(n) for e in edges if e[0] != e[1] for n in e}
-    assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    for in_one_task in (0, 1000):
+        found = connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), in_one_task=in_one_task).collect()
+        assert {r.node: r.component for r in found} == {n: find(n) for e in edges if e[0] != e[1] for n in e}
+        assert connected_components(spark.createDataFrame([], "a bigint, b bigint"), in_one_task=in_one_task - 1).count() == 0
 
 
 def test_odd_tables(spark, docs, nothing):

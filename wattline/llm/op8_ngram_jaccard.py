@@ -355,7 +355,8 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
         }
 
     schema = "name binary, n bigint, level bigint, signs array<bigint>, shingles binary"
-    again = map_texts(source.join(kept, "id"), "text", schema, sets, ["id"]).join(of_set, ["id", "name"], "left_semi")
+    # kept ids grow with the table, so they are no side to broadcast
+    again = map_texts(source.join(kept.hint("merge"), "id"), "text", schema, sets, ["id"]).join(of_set, ["id", "name"], "left_semi")
     if nameless is not None:
         others = map_texts(source.where("id IS NULL"), "text", schema, sets, ["id"]).drop("id").join(nameless.select("name", F.col("first").alias("id")), "name")
         again = again.unionByName(others.join(kept, "id", "left_semi"))
