@@ -3,7 +3,7 @@
 All are left equi-joins without hints: Spark broadcasts a dimension when its
 measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
 shuffles, where adaptive execution splits a building or site that holds too
-many rows. Only the holiday calendar, whose size is fixed, is always broadcast.
+many rows. Holidays need no join, they are computed from the date.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.session import materialize
-from wattline.sources.calendar import DEFAULT_COUNTRY, holidays, site_country
+from wattline.sources.calendar import DEFAULT_COUNTRY, is_holiday, site_country
 
 
 def join_buildings(df: DataFrame, buildings: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -57,12 +57,5 @@ def join_groups_results(df: DataFrame, table: DataFrame, keys: Sequence[str], ho
 
 def mark_holidays(df: DataFrame, out: str = "is_holiday", order: str = "timestamp") -> DataFrame:
     """1 on public holidays of the site's country, on US ones without a site."""
-    calendar = holidays(df.sparkSession).select(
-        F.col("country").alias("_country"), F.col("date").alias("_date"), F.lit(1).alias("_hit"))
     country = site_country(F.col("site_id")) if "site_id" in df.columns else F.lit(DEFAULT_COUNTRY)
-    return (
-        df.withColumns({"_country": country, "_date": F.to_date(order)})
-        .join(F.broadcast(calendar), ["_country", "_date"], "left")
-        .withColumn(out, F.coalesce("_hit", F.lit(0)))
-        .drop("_country", "_date", "_hit")
-    )
+    return df.withColumn(out, is_holiday(country, F.to_date(order)).cast("int"))

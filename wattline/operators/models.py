@@ -5,10 +5,14 @@ from __future__ import annotations
 import math
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import add, and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -52,19 +56,30 @@ def _feature_names(features: Sequence[str], categorical: Sequence[str]) -> list[
 
 
 def _predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Consumption cannot be negative."""
+    """Consumption cannot be negative; a missing prediction stays missing."""
     keep = [c for c in rows.columns if c != "predicted"]
-    return model.transform(rows).select(
-        *keep, F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted"))
+    raw = F.col("prediction")
+    return model.transform(rows).select(*keep, F.when(raw.isNotNull(), F.greatest(raw, F.lit(0.0))).alias("predicted"))
 
 
-def _fit(
-    name: str, learner, train: DataFrame, held_out: DataFrame, features: list[str], categorical: Sequence[str]
-) -> Forecast:
-    started = time.perf_counter()
-    model = Pipeline(stages=[*_inputs(features, categorical), learner]).fit(train)
-    elapsed = time.perf_counter() - started
-    return Forecast(name, _predict(model, held_out), model, _feature_names(features, categorical), elapsed)
+@dataclass(frozen=True)
+class Vectors:
+    """Training rows as feature vectors, stored once for every fit on them, and the stages that made them."""
+
+    rows: DataFrame
+    stages: PipelineModel
+    features: list[str]
+
+    def forecast(self, name: str, model, held_out: DataFrame, seconds: float) -> Forecast:
+        whole = PipelineModel(stages=[*self.stages.stages, model])
+        return Forecast(name, _predict(whole, held_out), whole, self.features, seconds)
+
+
+def training_vectors(train: DataFrame, categorical: Sequence[str], target: str = TARGET) -> Vectors:
+    features = feature_columns(train)
+    stages = Pipeline(stages=_inputs(features, categorical)).fit(train)
+    kept = [ORDER, target] if ORDER in train.columns else [target]
+    return Vectors(materialize(stages.transform(train).select(*kept, "features")), stages, _feature_names(features, categorical))
 
 
 def _bins(train: DataFrame, features: Sequence[str], least: int = 128) -> int:
@@ -74,34 +89,49 @@ def _bins(train: DataFrame, features: Sequence[str], least: int = 128) -> int:
     return max([least, *(n + 2 for n in counts)])
 
 
-def fit_boosted_trees(
-    train: DataFrame, held_out: DataFrame, cfg: BoosterSettings = BoosterSettings(), target: str = TARGET
-) -> Forecast:
-    """Gradient-boosted trees. How many is found on the latest part of the training
-    rows; that many are then fitted to all of them. The rows that are scored play
-    no part in either."""
-    shared_dir(train.sparkSession)
-    features = feature_columns(train)
+def rounds_with_patience(errors: Sequence[float], patience: int) -> int:
+    """How many trees to keep: up to the lowest error seen before ``patience`` rounds brought no lower one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _boosted_trees(vectors: Vectors, held_out: DataFrame, cfg: BoosterSettings, bins: int, target: str) -> Forecast:
     learner = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
         maxDepth=cfg.max_depth, maxIter=cfg.rounds, stepSize=cfg.step_size,
         subsamplingRate=cfg.row_fraction, featureSubsetStrategy=str(cfg.feature_fraction),
-        minInstancesPerNode=cfg.min_rows_per_leaf, maxBins=_bins(train, features), seed=cfg.seed,
+        minInstancesPerNode=cfg.min_rows_per_leaf, maxBins=bins, seed=cfg.seed,
         cacheNodeIds=True, checkpointInterval=10,
     )
-    rows, tail = train, None
+    started = time.perf_counter()
+    rows = vectors.rows
     if cfg.stopping_fraction > 0:
         seconds = F.unix_seconds(F.col(ORDER).cast("timestamp"))
-        ends = train.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b"))
-        border = ends.select(F.col("b") - (F.col("b") - F.col("a")) * cfg.stopping_fraction).scalar()
-        rows = train.withColumn("stopping_row", seconds > border)
-        tail = learner.copy().setParams(validationIndicatorCol="stopping_row", validationTol=cfg.stopping_tolerance)
-    if tail is None:
-        return _fit("boosted_trees", learner, rows, held_out, features, CATEGORICAL)
-    found = _fit("boosted_trees", tail, rows, held_out, features, CATEGORICAL)
-    learner = learner.setParams(maxIter=found.model.stages[-1].getNumTrees)
-    final = _fit("boosted_trees", learner, train, held_out, features, CATEGORICAL)
-    return replace(final, train_seconds=found.train_seconds + final.train_seconds)
+        ends = rows.agg(F.min(seconds).alias("a"), F.max(seconds).alias("b"))
+        border = ends.select(F.col("b") - (F.col("b") - F.col("a")) * cfg.stopping_fraction).first()[0]
+        tail = rows.where(seconds > border)
+        if border is not None and not tail.isEmpty():
+            found = learner.fit(rows.where(seconds <= border))
+            count = rounds_with_patience(found.evaluateEachIteration(tail, "squared"), cfg.patience)
+            learner = learner.copy({learner.maxIter: count})
+    model = learner.fit(rows)
+    return vectors.forecast("boosted_trees", model, held_out, time.perf_counter() - started)
+
+
+def fit_boosted_trees(
+    train: DataFrame, held_out: DataFrame, cfg: BoosterSettings = BoosterSettings(), target: str = TARGET
+) -> Forecast:
+    """Gradient-boosted trees. One fit to all but the latest training rows gives the error of every prefix of its trees
+    on those latest rows; as many trees as were best, with patience, are then fitted to all training rows. The rows that
+    are scored play no part in either."""
+    shared_dir(train.sparkSession)
+    vectors = training_vectors(train, CATEGORICAL, target)
+    return _boosted_trees(vectors, held_out, cfg, _bins(train, feature_columns(train)), target)
 
 
 def fit_forest(
@@ -111,11 +141,13 @@ def fit_forest(
     shared_dir(train.sparkSession)
     learner = RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
-        maxDepth=cfg.max_depth, numTrees=max(cfg.rounds // 3, 1), subsamplingRate=cfg.row_fraction,
+        maxDepth=cfg.max_depth, numTrees=cfg.forest_trees, subsamplingRate=cfg.row_fraction,
         featureSubsetStrategy=str(cfg.feature_fraction), minInstancesPerNode=cfg.min_rows_per_leaf, seed=cfg.seed,
         cacheNodeIds=True, checkpointInterval=10,
     )
-    return _fit("forest", learner, train, held_out, feature_columns(train), [])
+    vectors, started = training_vectors(train, [], target), time.perf_counter()
+    model = learner.fit(vectors.rows)
+    return vectors.forecast("forest", model, held_out, time.perf_counter() - started)
 
 
 def feature_importance(forecast: Forecast, top_n: int | None = 20) -> DataFrame:
@@ -197,39 +229,167 @@ def fit_site_lines(train: DataFrame, held_out: DataFrame, x: str = "lag_24h", ta
         "predicted", F.when(line.isNotNull(), F.greatest(line, F.lit(0.0)))).drop("_slope", "_intercept", "_n")
 
 
+def _solve(penalty: float, width: int):
+    """Coefficients of a site from the sums of products of its centred inputs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for n, means, products in zip(*[batch.column(c).to_pylist() for c in ("_n", "_means", "_products")], strict=True):
+                full = np.zeros((width, width))
+                full[np.triu_indices(width)] = products
+                full += np.triu(full, 1).T
+                spread, means = full[:-1, :-1], np.array(means)
+                # inputs that don't vary at a site get no weight
+                scale = np.sqrt(np.maximum(np.diag(spread), 0.0))
+                used = scale > 1e-9 * np.sqrt(n) * np.maximum(np.abs(means[:-1]), 1.0)
+                beta = np.zeros(width - 1)
+                if used.any():
+                    s = scale[used]
+                    scaled = spread[np.ix_(used, used)] / np.outer(s, s) + penalty * np.eye(used.sum())
+                    beta[used] = np.linalg.solve(scaled, full[:-1, -1][used] / s) / s
+                out.append([float(means[-1] - beta @ means[:-1]), *beta.tolist()])
+            yield pa.RecordBatch.from_arrays([batch.column("site_id"), pa.array(out, pa.list_(pa.float64()))], names=["site_id", "_beta"])
+
+    return run
+
+
+def fit_site_ridges(
+    train: DataFrame, held_out: DataFrame, features: Sequence[str] | None = None, penalty: float = 1e-6, target: str = TARGET
+) -> DataFrame:
+    """A ridge regression per site on many inputs, for any number of sites in one job. Returns the held-out rows with their
+    prediction; sites with too few training rows, and rows with a missing input, get none.
+
+    The sums of products of all pairs of inputs, centred about the site's means so that nothing cancels, come from two
+    aggregations; a site is then one row of sums, and the small systems are solved where those rows are. ``penalty`` is
+    in units of the inputs' variance.
+    """
+    inputs = list(features or feature_columns(train))
+    columns, width = [*inputs, target], len(inputs) + 1
+    v = [F.col(c).cast("double") for c in columns]
+    known = reduce(and_, [c.isNotNull() for c in v])
+    rows = train.where(known & F.col("site_id").isNotNull()).select("site_id", F.array(*v).alias("_x"))
+    # one long row of averages per site; the second pass adds up products of what is left
+    means = rows.groupBy("site_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.array(*[F.avg(F.col("_x")[i]) for i in range(width)]).alias("_means")).where(F.col("_n") >= MIN_SITE_TRAIN)
+    means = materialize(means)
+    centred = join_groups_results(rows, means.select("site_id", "_means"), ["site_id"]).select(
+        "site_id", F.zip_with("_x", "_means", lambda a, b: a - b).alias("_x"))
+    sums = centred.mapInArrow(_partial_products(width), f"{_site_type(train)}, place int, total double")
+    sums = sums.groupBy("site_id", "place").agg(F.sum("total").alias("total"))
+    grams = sums.groupBy("site_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "total"))), lambda x: x["total"]).alias("_products"))
+    solved = grams.join(means, "site_id").select("site_id", "_n", "_means", "_products").mapInArrow(
+        _solve(penalty, width), f"{_site_type(train)}, _beta array<double>")
+    scored = join_groups_results(held_out, solved, ["site_id"], "left")
+    line = F.col("_beta")[0] + reduce(add, [F.col("_beta")[i + 1] * F.col(c).cast("double") for i, c in enumerate(inputs)])
+    return scored.withColumn("predicted", F.when(line.isNotNull(), F.greatest(line, F.lit(0.0)))).drop("_beta")
+
+
+def _site_type(rows: DataFrame) -> str:
+    return f"site_id {dict(rows.dtypes)['site_id']}"
+
+
+#: Sites whose sums a task holds before it hands them on.
+HELD_SITES = 4096
+
+
+def _partial_products(width: int):
+    """Every task adds up the upper triangle of X'X of each of its sites, so that a site costs one set of sums per task."""
+    upper = np.triu_indices(width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, kind = {}, None
+
+        def handed_on() -> pa.RecordBatch:
+            size = len(upper[0])
+            site = pa.array(list(sums), kind).take(pa.array(np.repeat(np.arange(len(sums)), size)))
+            place = pa.array(np.tile(np.arange(size, dtype=np.int32), len(sums)))
+            total = pa.array(np.concatenate(list(sums.values())))
+            sums.clear()
+            return pa.RecordBatch.from_arrays([site, place, total], names=["site_id", "place", "total"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes, kind = batch.column("site_id").dictionary_encode(), batch.column("site_id").type
+            own = np.asarray(codes.indices)
+            order = np.argsort(own, kind="stable")
+            x = np.asarray(batch.column("_x").flatten()).reshape(-1, width)[order]
+            present, first = np.unique(own[order], return_index=True)
+            for site, part in zip(present.tolist(), np.split(x, first[1:]), strict=True):
+                total = (part.T @ part)[upper]
+                name = codes.dictionary[site].as_py()
+                sums[name] = sums[name] + total if name in sums else total
+                if len(sums) >= HELD_SITES:
+                    yield handed_on()
+        if sums:
+            yield handed_on()
+
+    return run
+
+
+GOLDEN = (3 - math.sqrt(5)) / 2
+
+
+def minimize_bounded(error: Callable[[float], float], low: float, high: float, evaluations: int, tolerance: float = 1e-3) -> dict[float, float]:
+    """Brent's bounded search: a parabola through the three best points where it promises a step inside, else a golden-section
+    step. Returns every point tried with its error."""
+    tried: dict[float, float] = {}
+
+    def at(x: float) -> float:
+        if x not in tried:
+            tried[x] = error(x)
+        return tried[x]
+
+    best = second = third = low + GOLDEN * (high - low)
+    at(best)
+    step = before = 0.0
+    while len(tried) < evaluations:
+        middle, least = (low + high) / 2, tolerance * abs(best) + 1e-9
+        if abs(best - middle) <= 2 * least - (high - low) / 2:
+            break
+        golden = True
+        if abs(before) > least:
+            r = (best - second) * (at(best) - at(third))
+            q = (best - third) * (at(best) - at(second))
+            p, q = (best - third) * q - (best - second) * r, 2 * (q - r)
+            p, q = (-p, q) if q > 0 else (p, -q)
+            if abs(p) < abs(q * before / 2) and q * (low - best) < p < q * (high - best):
+                before, step, golden = step, p / q, False
+                if best + step - low < 2 * least or high - best - step < 2 * least:
+                    step = math.copysign(least, middle - best)
+        if golden:
+            before = (high if best < middle else low) - best
+            step = GOLDEN * before
+        new = best + (step if abs(step) >= least else math.copysign(least, step))
+        if new in tried:
+            break
+        if at(new) <= at(best):
+            low, high = (best, high) if new >= best else (low, best)
+            best, second, third = new, best, second
+        else:
+            low, high = (new, high) if new < best else (low, new)
+            if at(new) <= at(second) or second == best:
+                second, third = new, second
+            elif at(new) <= at(third) or third in (best, second):
+                third = new
+    return tried
+
+
 def search_step_size(
     train: DataFrame, held_out: DataFrame, cfg: BoosterSettings = BoosterSettings(),
     bounds: tuple[float, float] = (0.005, 0.3), evaluations: int = 8, target: str = TARGET,
 ) -> tuple[float, DataFrame]:
-    """Golden-section search of the step size on a logarithmic scale.
-
-    Each evaluation is one distributed fit. Returns the best step size and the
-    table of everything tried.
-    """
+    """Bounded search of the step size. Each evaluation is one distributed fit; all fits share one stored table of feature
+    vectors. Returns the step size with the lowest error, the smaller of equal ones, and the table of everything tried."""
+    shared_dir(train.sparkSession)
     train, held_out = materialize(train), materialize(held_out)
-    tried: dict[float, float] = {}
+    vectors, bins = training_vectors(train, CATEGORICAL, target), _bins(train, feature_columns(train))
 
-    def error(position: float) -> float:
-        step = math.exp(position)
-        if step not in tried:
-            forecast = fit_boosted_trees(train, held_out, replace(cfg, step_size=step), target)
-            tried[step] = regression_metrics(forecast.predictions, target=target).first()["rmse"]
-        return tried[step]
-
-    golden = (math.sqrt(5) - 1) / 2
-    low, high = (math.log(b) for b in bounds)
-    a, b = high - golden * (high - low), low + golden * (high - low)
-    fa, fb = error(a), error(b)
-    for _ in range(max(evaluations - 2, 0)):
-        if fa <= fb:
-            high, b, fb = b, a, fa
-            a = high - golden * (high - low)
-            fa = error(a)
-        else:
-            low, a, fa = a, b, fb
-            b = low + golden * (high - low)
-            fb = error(b)
-    best = min(tried, key=tried.get)
-    table = train.sparkSession.createDataFrame(
-        [(s, e) for s, e in tried.items()], "step_size double, rmse double")
-    return best, table.orderBy("rmse")
+    def error(step: float) -> float:
+        forecast = _boosted_trees(vectors, held_out, replace(cfg, step_size=step), bins, target)
+        return regression_metrics(forecast.predictions, target=target).first()["rmse"]
+
+    tried = minimize_bounded(error, *bounds, evaluations)
+    best = min(tried, key=lambda step: (tried[step], step))
+    table = train.sparkSession.createDataFrame(list(tried.items()), "step_size double, rmse double")
+    return best, table.orderBy("rmse", "step_size")

@@ -1,20 +1,18 @@
-"""Public-holiday calendar as a dimension table, generated from its rules.
+"""Public holidays by rule, as expressions of a date.
 
 Nation-wide days only: the days all parts of a country share, with the days
-observed when one falls on a weekend. The table holds a dozen rows per country
-and year for a fixed span of years, so broadcasting it is always safe.
+observed when one falls on a weekend. There is no table and no span of years:
+whether a date is a holiday is computed from the date.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-from functools import lru_cache
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FIRST_YEAR, LAST_YEAR = 1970, 2100
-
 # The country of each site; unknown sites count as US.
 SITE_COUNTRIES = {
     0: "US", 1: "UK", 2: "US", 3: "US", 4: "US", 5: "UK", 6: "US", 7: "CA",
@@ -31,92 +29,105 @@ PROCLAIMED = {
 _MON, _THU, _FRI, _SAT = 0, 3, 4, 5
 
 
-def _nth(year: int, month: int, weekday: int, nth: int) -> date:
-    first = date(year, month, 1)
-    return first + timedelta((weekday - first.weekday()) % 7 + 7 * (nth - 1))
+def _over(a: Column | int, b: int) -> Column:
+    """Whole quotient of numbers that aren't negative."""
+    return F.floor(a / F.lit(b)).cast("int")
 
 
-def _last(year: int, month: int, weekday: int) -> date:
-    end = date(year, month + 1, 1) - timedelta(1)
-    return end - timedelta((end.weekday() - weekday) % 7)
+class _Day:
+    """A date and what rules ask of it; weekdays count from Monday = 0."""
 
+    def __init__(self, date: Column):
+        self.date = date
+        self.year, self.month, self.day, self.weekday = F.year(date), F.month(date), F.dayofmonth(date), F.weekday(date)
 
-def _easter(year: int) -> date:
-    """Easter Sunday by the anonymous Gregorian rule."""
-    century, moon = year // 100, year % 19
-    epact = (19 * moon + century - century // 4 - (century - (century + 8) // 25 + 1) // 3 + 15) % 30
-    weekday = (32 + 2 * (century % 4) + 2 * (year % 100 // 4) - epact - year % 100 % 4) % 7
-    serial = epact + weekday - 7 * ((moon + 11 * epact + 22 * weekday) // 451) + 114
-    return date(year, serial // 31, serial % 31 + 1)
+    def shifted(self, days: int) -> _Day:
+        return _Day(F.date_add(self.date, days))
 
+    def on(self, month: int, *days: int) -> Column:
+        return (self.month == month) & self.day.isin(*days)
 
-def _nearest_workday(day: date) -> date:
-    """Saturday moves to Friday, Sunday to Monday."""
-    return day + timedelta({5: -1, 6: 1}.get(day.weekday(), 0))
+    def nth(self, month: int, weekday: int, nth: int) -> Column:
+        return (self.month == month) & (self.weekday == weekday) & (_over(self.day - 1, 7) == nth - 1)
 
+    def last(self, month: int, weekday: int) -> Column:
+        return (self.month == month) & (self.weekday == weekday) & (F.month(F.date_add(self.date, 7)) != month)
 
-def _next_monday(day: date) -> date:
-    """A weekend day moves to Monday."""
-    return day + timedelta(max(0, 7 - day.weekday())) if day.weekday() >= _SAT else day
+    def since(self, year: int) -> Column:
+        return self.year >= year
 
+    def after_easter(self, days: int) -> Column:
+        """Whether this is so many days after Easter Sunday, by the anonymous Gregorian rule. Easter lies between March and April."""
+        century, moon, rest = _over(self.year, 100), self.year % 19, self.year % 100
+        epact = (19 * moon + century - _over(century, 4) - _over(century - _over(century + 8, 25) + 1, 3) + 15) % 30
+        weekday = (32 + 2 * (century % 4) + 2 * _over(rest, 4) - epact - rest % 4) % 7
+        serial = epact + weekday - 7 * _over(moon + 11 * epact + 22 * weekday, 451) + 114
+        easter = F.make_date(self.year, _over(serial, 31), serial % 31 + 1)
+        return self.month.between(3, 5) & (F.datediff(self.date, easter) == days)
 
-def _boxing_days(y: int) -> set[date]:
-    """25 and 26 December; weekend days are made up for on the 27th and 28th."""
-    days = {date(y, 12, 25), date(y, 12, 26)}
-    return days | {d + timedelta(2) for d in days if d.weekday() >= _SAT}
 
+def _any(*rules: Column) -> Column:
+    return reduce(or_, rules)
 
-def _united_states(y: int) -> set[date]:
-    dated = {date(y, 1, 1), date(y, 7, 4), date(y, 12, 25)}
-    dated |= {date(y, 11, 11)} if y >= 1971 else set()
-    dated |= {date(y, 6, 19)} if y >= 2021 else set()
-    days = dated | {_nearest_workday(d) for d in dated}
-    days |= {_nth(y, 2, _MON, 3), _last(y, 5, _MON), _nth(y, 9, _MON, 1), _nth(y, 10, _MON, 2), _nth(y, 11, _THU, 4)}
-    return days | ({_nth(y, 1, _MON, 3)} if y >= 1986 else set())
 
+def _or_nearest_workday(day: _Day, rule) -> Column:
+    """A day of the rule; a Saturday is also kept on the Friday before, a Sunday on the Monday after."""
+    before, after = day.shifted(-1), day.shifted(1)
+    return _any(rule(day), (day.weekday == _FRI) & rule(after), (day.weekday == _MON) & rule(before))
 
-def _united_kingdom(y: int) -> set[date]:
-    days = _boxing_days(y) | {_easter(y) - timedelta(2)}
-    if y >= 1974:
-        days |= {date(y, 1, 1), _next_monday(date(y, 1, 1))}
-    if y >= 1978:
-        days.add(date(y, 5, 8) if y in (1995, 2020) else _nth(y, 5, _MON, 1))
-    if y not in (2002, 2012, 2022):  # moved for the jubilees, see PROCLAIMED
-        days.add(_last(y, 5, _MON))
-    return days
 
+def _or_next_monday(day: _Day, rule) -> Column:
+    """A day of the rule; a weekend day is also kept on the Monday after."""
+    return rule(day) | ((day.weekday == _MON) & _any(*[rule(day.shifted(-n)) for n in (1, 2)]))
 
-def _canada(y: int) -> set[date]:
-    dated = {date(y, 1, 1), date(y, 7, 1), date(y, 12, 25)}
-    return dated | {_next_monday(d) for d in dated} | {_easter(y) - timedelta(2), _nth(y, 9, _MON, 1)}
 
+def _boxing_days(day: _Day) -> Column:
+    """25 and 26 December; weekend days are made up for two days later."""
+    ago = day.shifted(-2)
+    return day.on(12, 25, 26) | (ago.on(12, 25, 26) & (ago.weekday >= _SAT))
 
-def _ireland(y: int) -> set[date]:
-    dated = {date(y, 1, 1), date(y, 3, 17)}
-    days = dated | {_next_monday(d) for d in dated} | _boxing_days(y)
-    days |= {_easter(y) + timedelta(1), _nth(y, 6, _MON, 1), _nth(y, 8, _MON, 1)}
-    if y >= 1977:
-        days.add(_last(y, 10, _MON))
-    if y >= 1994:
-        days.add(_nth(y, 5, _MON, 1))
-    if y >= 2023:
-        days.add(date(y, 2, 1) if date(y, 2, 1).weekday() == _FRI else _nth(y, 2, _MON, 1))
-    return days
 
+def _united_states(day: _Day) -> Column:
+    def dated(d: _Day) -> Column:
+        return _any(d.on(1, 1), d.on(7, 4), d.on(12, 25), d.on(11, 11) & d.since(1971), d.on(6, 19) & d.since(2021))
+
+    return _any(
+        _or_nearest_workday(day, dated), day.nth(1, _MON, 3) & day.since(1986), day.nth(2, _MON, 3), day.last(5, _MON),
+        day.nth(9, _MON, 1), day.nth(10, _MON, 2), day.nth(11, _THU, 4))
+
+
+def _united_kingdom(day: _Day) -> Column:
+    may = F.when(day.year.isin(1995, 2020), day.on(5, 8)).otherwise(day.nth(5, _MON, 1))
+    return _any(
+        _boxing_days(day), day.after_easter(-2), _or_next_monday(day, lambda d: d.on(1, 1)) & day.since(1974), may & day.since(1978),
+        day.last(5, _MON) & ~day.year.isin(2002, 2012, 2022))  # moved for the jubilees, see PROCLAIMED
 
-RULES = {"US": _united_states, "UK": _united_kingdom, "CA": _canada, "IE": _ireland}
 
+def _canada(day: _Day) -> Column:
+    return _any(
+        _or_next_monday(day, lambda d: _any(d.on(1, 1), d.on(7, 1), d.on(12, 25))), day.after_easter(-2), day.nth(9, _MON, 1))
 
-@lru_cache(maxsize=1)
-def _listed() -> list[tuple[str, date]]:
-    days = {(c, d) for c, rule in RULES.items() for y in range(FIRST_YEAR, LAST_YEAR + 1) for d in rule(y)}
-    days |= {(c, date.fromisoformat(d)) for c, listed in PROCLAIMED.items() for d in listed}
-    return sorted(days)
+
+def _ireland(day: _Day) -> Column:
+    friday = F.weekday(F.make_date(day.year, F.lit(2), F.lit(1))) == _FRI
+    return _any(
+        _or_next_monday(day, lambda d: d.on(1, 1) | d.on(3, 17)), _boxing_days(day), day.after_easter(1), day.nth(6, _MON, 1),
+        day.nth(8, _MON, 1), day.last(10, _MON) & day.since(1977), day.nth(5, _MON, 1) & day.since(1994),
+        F.when(friday, day.on(2, 1)).otherwise(day.nth(2, _MON, 1)) & day.since(2023))
+
+
+RULES = {"US": _united_states, "UK": _united_kingdom, "CA": _canada, "IE": _ireland}
 
 
-def holidays(spark: SparkSession) -> DataFrame:
-    """``(country, date)``, one row per holiday."""
-    return spark.createDataFrame(_listed(), "country string, date date")
+def is_holiday(country: Column, date: Column) -> Column:
+    """Whether a date is a holiday of a country; false for other countries and missing dates."""
+    day, cases = _Day(date), None
+    for name, rule in RULES.items():
+        own = rule(day)
+        if name in PROCLAIMED:
+            own = own | date.isin(*[F.lit(d).cast("date") for d in PROCLAIMED[name]])
+        cases = F.when(country == name, own) if cases is None else cases.when(country == name, own)
+    return F.coalesce(cases, F.lit(False))
 
 
 def site_country(site: Column) -> Column:
