@@ -98,6 +98,12 @@ def discard(*tables: DataFrame) -> None:
         _delete(table.sparkSession, table.stored_at)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries now: it does so when the driver collects their plans, which
+    may be long after a large stage if little else runs there."""
+    spark._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
