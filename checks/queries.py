@@ -39,8 +39,8 @@ class Check:
 
 CHECKS: dict[str, Check] = {}
 SETTINGS = Settings(holdout="INTERVAL 7 DAYS")
-# Few rounds: what the queries compare doesn't depend on how far a learner is trained.
-SMALL = BoosterSettings(rounds=5, max_depth=4, stopping_fraction=0.1)
+# The library's learners with fewer rounds, where a query fits many models.
+QUICK = BoosterSettings(rounds=20, patience=5, forest_trees=10)
 
 
 def check(name: str, oracle: str | None = None):
@@ -718,7 +718,7 @@ _HELD = "SELECT building_id, meter, timestamp, round(meter_reading, 6) AS meter_
 
 
 def _usable(forecast):
-    """Held-out rows, and whether each has a prediction that isn't negative."""
+    """Held-out rows, and whether each has a prediction that isn't negative; a missing one isn't usable."""
     usable = F.coalesce(F.col("predicted") >= 0, F.lit(False))
     return _rounded(forecast.predictions.select(*KEYS, ORDER, TARGET, usable.alias("usable")))
 
@@ -726,13 +726,36 @@ def _usable(forecast):
 @check("h4_d14_boosted_trees", _HELD)
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    return _usable(models.fit_boosted_trees(train, held_out, SMALL))
+    return _usable(models.fit_boosted_trees(train, held_out, SETTINGS.booster))
+
+
+# Readings with a daily and weekly shape of each building, and the given readings as noise.
+_SHAPE = """200 + round(80 * cos(2 * pi() * ({hour} - 14) / 24) * (1 + building_id % 4)) + CASE WHEN {weekday} >= 5 THEN -120 ELSE 0 END
+       + CAST(meter_reading AS BIGINT) % 29"""
+_SHAPED = f"""SELECT *, lag(meter_reading, 24) OVER ({Q.W}) AS lag_24h, lag(meter_reading, 168) OVER ({Q.W}) AS lag_168h
+    FROM (SELECT building_id, meter, timestamp, CAST({_SHAPE.format(hour="hour(timestamp)", weekday="(isodow(timestamp) - 1)")} AS DOUBLE) AS meter_reading FROM rd)"""
+
+
+@check("h4_beats_baselines", f"""
+WITH s AS (SELECT * FROM ({_SHAPED}) WHERE lag_168h IS NOT NULL), b AS (SELECT max(timestamp) - INTERVAL 7 DAY AS at FROM s),
+     v AS (SELECT s.* FROM s, b WHERE timestamp >= at), m AS (SELECT building_id, meter, avg(meter_reading) AS p FROM s, b WHERE timestamp < at GROUP BY 1, 2)
+SELECT 'meter_mean' AS model, round(sqrt(avg(pow(meter_reading - p, 2))), 4) AS rmse, true AS beaten FROM v JOIN m USING (building_id, meter)
+UNION ALL SELECT 'persistence', round(sqrt(avg(pow(meter_reading - lag_24h, 2))), 4), true FROM v""")
+def _(spark, sf):
+    shape = F.expr(_SHAPE.format(hour="hour(timestamp)", weekday="weekday(timestamp)")).cast("double")
+    rows = add_lags(_rd(spark, sf).withColumn(TARGET, shape)).drop("lag_diff_24h").where("lag_168h IS NOT NULL")
+    rows = rows.withColumns({"hour": F.hour(ORDER), "dayofweek": F.weekday(ORDER)})
+    train, held_out = split.time_split(materialize(rows), SETTINGS.holdout, check=False)
+    trees = models.fit_boosted_trees(train, held_out, QUICK)
+    error = split.regression_metrics(trees.predictions).select("rmse").scalar()
+    base = models.compare_models([("meter_mean", split.predict_group_mean(train, held_out), 0.0), ("persistence", split.predict_persistence(train, held_out), 0.0)])
+    return base.select("model", F.round("rmse", 4).alias("rmse"), (F.col("rmse") > error).alias("beaten"))
 
 
 @check("h5_second_learner", _HELD)
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    return _usable(models.fit_forest(train, held_out, SMALL))
+    return _usable(models.fit_forest(train, held_out, SETTINGS.booster))
 
 
 _METRICS = """SELECT '{name}' AS model, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, count(*) AS n_val,
@@ -746,7 +769,7 @@ _METRICS = """SELECT '{name}' AS model, round(sqrt(avg(e * e)), 4) AS rmse, roun
       for m in ("forest", "boosted_trees")]]))
 def _(spark, sf):
     # The learners' errors have no counterpart in SQL: only that they are there is compared.
-    cfg, base = replace(SETTINGS, booster=SMALL), F.col("model").isin("meter_mean", "persistence")
+    cfg, base = SETTINGS, F.col("model").isin("meter_mean", "persistence")
     table = jobs.compare_job(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf), cfg)
     return table.select(
         "model", *[F.when(base, F.round(c, 4)).alias(c) for c in ("rmse", "mae")], "n_val", "n_train",
@@ -756,7 +779,7 @@ def _(spark, sf):
 @check("h7_feature_importance", f"SELECT {len(FEATURES)} AS n_features, 1.0::DOUBLE AS total, true AS in_order, (SELECT count(*) > 0 FROM run_train) AS fitted")
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    table = models.feature_importance(models.fit_boosted_trees(train, held_out, SMALL), top_n=None)
+    table = models.feature_importance(models.fit_boosted_trees(train, held_out, QUICK), top_n=None)
     return table.agg(
         F.count("feature").cast("int").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"),
         (F.min("importance") >= 0).alias("in_order"), (F.max("importance") > 0).alias("fitted"))
@@ -768,7 +791,7 @@ FROM (SELECT site_id, count(*) AS n_train FROM run_train GROUP BY 1)
 LEFT JOIN (SELECT site_id, count(*) AS n_val FROM run_val GROUP BY 1) USING (site_id)""")
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    table = models.fit_site_models(train, held_out, replace(SMALL, rounds=2, stopping_fraction=0.0))
+    table = models.fit_site_models(train, held_out, replace(QUICK, rounds=5))
     return table.select("site_id", "status", "n_train", "n_val")
 
 
@@ -787,20 +810,35 @@ def _(spark, sf):
     return _rounded(models.fit_site_lines(train, held_out).select(*KEYS, ORDER, "predicted"), 4)
 
 
+@check("h8_site_ridges", f"""
+WITH r AS (SELECT r.*, m.site_id, lag(meter_reading, 24) OVER ({Q.W}) AS x1, lag(meter_reading, 168) OVER ({Q.W}) AS x2 FROM rd r LEFT JOIN meta m USING (building_id)),
+     b AS (SELECT max(timestamp) - INTERVAL 7 DAY AS at FROM r),
+     s AS (SELECT site_id, avg(meter_reading) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS s11, var_pop(x2) AS s22, covar_pop(x1, x2) AS s12,
+                  covar_pop(x1, meter_reading) AS s1y, covar_pop(x2, meter_reading) AS s2y
+           FROM r, b WHERE timestamp < at AND x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY 1 HAVING count(*) >= 100),
+     c AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM s)
+SELECT r.building_id, r.meter, r.timestamp, round(CASE WHEN b1 IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL THEN greatest(my + b1 * (x1 - m1) + b2 * (x2 - m2), 0.0) END, 3) AS predicted
+FROM (SELECT r.* FROM r, b WHERE timestamp >= at) r LEFT JOIN c USING (site_id)""")
+def _(spark, sf):
+    rows = joins.join_buildings(add_lags(_rd(spark, sf)), _meta(spark, sf), ["site_id"])
+    train, held_out = split.time_split(materialize(rows), SETTINGS.holdout, check=False)
+    return _rounded(models.fit_site_ridges(train, held_out, ["lag_24h", "lag_168h"], penalty=0.0).select(*KEYS, ORDER, "predicted"), 3)
+
+
 @check("h11_step_size_search", "SELECT 3::BIGINT AS n_tried, true AS in_bounds, true AS best_first, (SELECT count(*) > 0 FROM run_val) AS scored")
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    best, table = models.search_step_size(train, held_out, replace(SMALL, rounds=3), evaluations=3)
+    best, table = models.search_step_size(train, held_out, QUICK, evaluations=3)
     step = F.col("step_size")
     return table.agg(
         F.count("step_size").alias("n_tried"), F.min((step >= 0.005) & (step <= 0.3)).alias("in_bounds"),
-        (F.min_by("step_size", "rmse") == best).alias("best_first"), F.min(F.col("rmse") > 0).alias("scored"))
+        (F.min_by("step_size", F.struct("rmse", "step_size")) == best).alias("best_first"), F.min(F.col("rmse") > 0).alias("scored"))
 
 
 @check("h12_a12_saved_model", "SELECT building_id, meter, timestamp, true AS same FROM run_val")
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    forecast = models.fit_boosted_trees(train, held_out, SMALL)
+    forecast = models.fit_boosted_trees(train, held_out, QUICK)
     loaded = sinks.load_model(sinks.save_model(forecast.model, _folder(spark)))
     again = loaded.transform(forecast.predictions).withColumn("again", F.greatest("prediction", F.lit(0.0)))
     return again.select(*KEYS, ORDER, F.col("again").eqNullSafe(F.col("predicted")).alias("same"))
@@ -1081,6 +1119,32 @@ def _(spark, sf):
         F.col("audit_entries.meters").alias("entries"))
 
 
+@check("p1_audit_run_boosted", f"""
+SELECT building_id, meter, timestamp, round(meter_reading, 3) AS meter_reading, true AS usable, {len(FEATURES)}::BIGINT AS n_features,
+       (SELECT count(*) FROM run_train) AS train_rows FROM run_val""")
+def _(spark, sf):
+    # the whole job with its own learner; what it wrote is read back
+    out, cfg = _folder(spark), replace(SETTINGS, booster=QUICK, audit=AuditSettings(min_hours=24))
+    jobs.audit_job(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf), out, cfg)
+    schema = T.StructType([*_RAW.fields, T.StructField("predicted", T.DoubleType()), T.StructField("residual", T.DoubleType())])
+    summary = spark.read.json(f"{out}/summary")
+    rows = R.read_table(spark, f"{out}/predictions", schema)
+    return rows.select(
+        *KEYS, ORDER, F.round(TARGET, 3).alias(TARGET), F.coalesce(F.col("predicted") >= 0, F.lit(False)).alias("usable"),
+        summary.select("n_features").scalar().alias("n_features"), summary.select("train_rows").scalar().alias("train_rows"))
+
+
+@check("p1_full_run_meters", """
+SELECT building_id, meter, CAST(count(is_anomaly) AS BIGINT) AS total_hours, CAST(sum(is_anomaly) AS BIGINT) AS anomaly_hours FROM run_detected GROUP BY 1, 2""")
+def _(spark, sf):
+    # the written summary of the meters
+    out, _ = _full_run(spark, sf)
+    rows = spark.read.option("header", "true").csv(f"{out}/anomaly_summary")
+    return rows.select(
+        F.col("building_id").cast("bigint").alias("building_id"), F.col("meter").cast("int").alias("meter"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("total_hours", "anomaly_hours")])
+
+
 @check("k6_other_scorer", """
 SELECT building_id, meter, timestamp, round(z, 6) AS anomaly_score, CASE WHEN abs(z) > 3.5 THEN 1 ELSE 0 END AS is_anomaly
 FROM (SELECT *, COALESCE((residual - avg(residual) OVER g) / nullif(stddev_pop(residual) OVER g, 0), 0.0) AS z
@@ -1108,6 +1172,40 @@ def _(spark, sf):
     return _rounded(jobs.explore_job(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf))["sites"])
 
 
+_BY_TABLE = {  # the total of one column of every written table
+    "dataset": ("total_rows", "SELECT 1, count(*) FROM dataset"),
+    "meter_types": ("n_buildings", "SELECT count(*), sum(n) FROM (SELECT count(DISTINCT building_id) AS n FROM dataset GROUP BY meter)"),
+    "uses": ("n_buildings", "SELECT count(*), sum(n) FROM (SELECT count(*) AS n FROM meta WHERE primary_use IS NOT NULL GROUP BY primary_use)"),
+    "meter_distribution": ("count", "SELECT 4, count(*) FROM dataset WHERE meter BETWEEN 0 AND 3"),
+    "reading_histogram": ("count", "SELECT NULL, count(meter_reading) FROM dataset"),
+    "profiles": ("bucket", """SELECT count(*), sum(b) FROM (SELECT DISTINCT 0 AS p, -1 AS m, hour(timestamp) AS b FROM dataset UNION SELECT 1, -1, isodow(timestamp) - 1 FROM dataset
+        UNION SELECT 2, -1, month(timestamp) FROM dataset UNION SELECT 3, meter, hour(timestamp) FROM dataset)"""),
+    "extremes": ("peak_hour", "SELECT 1, (SELECT hour(timestamp) FROM dataset GROUP BY hour(timestamp) ORDER BY avg(meter_reading) DESC, hour(timestamp) LIMIT 1)"),
+    "missingness": ("reading_zero_pct", "SELECT 1, 100.0 * count(*) FILTER (meter_reading = 0) / count(*) FROM dataset"),
+    "temperature_response": ("count", """SELECT NULL, sum(n) FROM (SELECT count(*) AS n FROM dataset WHERE air_temperature IS NOT NULL AND meter_reading IS NOT NULL
+        GROUP BY meter HAVING count(*) >= 100)"""),
+    "correlations": ("correlation", "SELECT 16, 4 + 2 * ({}) FROM dataset WHERE air_temperature IS NOT NULL AND meter_reading IS NOT NULL".format(
+        " + ".join(f"corr({a}, {b})" for i, a in enumerate(_CORR) for b in _CORR[:i]))),
+    "sites": ("n_rows", "SELECT (SELECT count(DISTINCT COALESCE(site_id, -1)) FROM dataset), count(meter_reading) FROM dataset"),
+    "site_leaders": ("highest_consumption_site", "SELECT 1, (SELECT site_id FROM dataset GROUP BY 1 ORDER BY avg(meter_reading) DESC, site_id LIMIT 1)"),
+}
+
+
+@check("p3_explore_written", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, CAST(n AS BIGINT) AS n_rows, round(CAST(t AS DOUBLE), 2) AS total FROM ({sql}) x(n, t)" for name, (_, sql) in _BY_TABLE.items()))
+def _(spark, sf):
+    # all twelve tables as the job wrote them
+    out = _folder(spark)
+    jobs.explore_job(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf), out)
+    found = None
+    for name, (column, sql) in _BY_TABLE.items():
+        count = F.lit(None) if sql.startswith("SELECT NULL") else F.count(F.lit(1))
+        row = spark.read.json(f"{out}/eda/{name}").agg(
+            F.lit(name).alias("name"), count.cast("bigint").alias("n_rows"), F.round(F.sum(column).cast("double"), 2).alias("total"))
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 @check("p5_raw_features", f"""
 SELECT r.building_id, r.meter, r.timestamp, r.meter_reading, CAST(hour(r.timestamp) AS INTEGER) AS hour,
        CAST(dayofweek(r.timestamp) + 1 AS INTEGER) AS dayofweek, CAST(month(r.timestamp) AS INTEGER) AS month,

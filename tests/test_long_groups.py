@@ -5,7 +5,7 @@ from helpers import assert_same, column, frame, hours, readings, uneven
 from pyspark.sql import functions as F
 
 from wattline.config import CleaningSettings, FeatureSettings
-from wattline.functions.groups import LongGroups, find_long_groups
+from wattline.functions.groups import SEGMENT, LongGroups, as_series, find_long_groups
 from wattline.functions.quantiles import group_quantiles
 from wattline.functions.ranking import ordinal_rank
 from wattline.functions.sequence import add_lags, add_rolling, add_run_length, fill_from_neighbours, null_zero_runs
@@ -42,6 +42,18 @@ def test_split_equals_whole(rows, small_groups, operator):
     assert_same(operator(rows, long), operator(rows, WHOLE))
 
 
+@pytest.mark.parametrize("step", ["7 MINUTES", "1 SECOND", "20 MICROSECONDS"])
+def test_a_day_above_the_limit_is_cut(spark, small_groups, step):
+    """Several hundred readings within a day, an hour or a second of one meter."""
+    df = spark.sql(f"""SELECT 1 AS building_id, 0 AS meter, timestamp_ntz'2024-01-03 23:59:58' + id * INTERVAL {step} AS timestamp,
+        CASE WHEN id % 90 < 50 THEN 0.0 WHEN id % 7 > 0 THEN CAST(id * 37 % 101 AS DOUBLE) END AS meter_reading FROM range(400)""")
+    long = find_long_groups(df)
+    segments = as_series(df, long, before=24).rows.groupBy(SEGMENT).count().collect()
+    assert len(segments) >= 8 and max(r["count"] for r in segments) <= 2 * 40 + 24
+    for operator in (lambda d, g: add_rolling(d, (7, 24), long=g), lambda d, g: null_zero_runs(d, 30, long=g), lambda d, g: fill_from_neighbours(d, ["meter_reading"], ["building_id", "meter"], long=g)):
+        assert_same(operator(df, long), operator(df, WHOLE))
+
+
 def test_only_long_groups_are_reported(rows, small_groups):
     assert {r.building_id for r in find_long_groups(rows).keys_table.collect()} == {1, None}
     assert not find_long_groups(rows, limit=10_000)

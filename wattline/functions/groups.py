@@ -3,7 +3,7 @@
 Sequence operators sort one series per task. That is the cheapest plan while
 every series fits, so it is used whenever a count of the groups says so. Series
 above ``spark.wattline.maxGroupRows`` rows are cut into segments of about that
-size. Each segment also receives the neighbouring rows its frames reach, so
+size, at days, and inside days, hours, minutes or seconds that alone hold more. Each segment also receives the neighbouring rows its frames reach, so
 windows over ``(keys, segment)`` give the same results as windows over the
 whole series.
 """
@@ -87,21 +87,53 @@ class Series:
         return df.where(F.col(SEGMENT) == F.col(_OWNER)).drop(SEGMENT, _OWNER)
 
 
-def _slot(order: str) -> Column:
-    """Calendar day: the grain at which long series are cut."""
-    return F.unix_date(F.to_date(order))
+# Grains at which long series are cut, in microseconds: day, hour, minute, second and one.
+GRAINS = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1)
 
 
-def _cut(df: DataFrame, long: LongGroups, order: str, before: int, after: int) -> DataFrame:
-    """Per long group and day: its segment, and the first and last segment reading it.
+def _at_grain(order: str, grain: int) -> Column:
+    """Begin of the grain a row lies in; grains are nested, so begins of several grains keep the order of time."""
+    micros = F.unix_micros(F.col(order).cast("timestamp"))
+    return micros - F.pmod(micros, F.lit(grain))
 
-    One row per day of a series, so a group's rows here are bounded by the
-    calendar however many readings it holds.
+
+def _with_slots(df: DataFrame, long: LongGroups, order: str, finer: list[DataFrame]) -> DataFrame:
+    """Rows with ``_slot``: their day; for each table of ``finer``, the next grain where the slot is listed there."""
+    keys = list(long.keys)
+    rows = df.withColumn("_slot", _at_grain(order, GRAINS[0]))
+    for grain, crowded in zip(GRAINS[1:], finer, strict=False):
+        listed = crowded.select(*keys, "_slot", F.lit(True).alias("_crowded"))
+        rows = join_groups(rows, listed, [*keys, "_slot"], "left").withColumn(
+            "_slot", F.when(F.col("_crowded"), _at_grain(order, grain)).otherwise(F.col("_slot"))).drop("_crowded")
+    return rows
+
+
+def _crowded_slots(df: DataFrame, long: LongGroups, order: str) -> list[DataFrame]:
+    """Days of a series that hold more rows than the limit, hours of these days that do, and so on; stored.
+
+    There are at most as many as the rows divided by the limit, so slots stay few however dense a day is.
+    """
+    keys, finer = list(long.keys), []
+    rows = join_groups(df, long.keys_table, keys, "left_semi").select(*keys, order)
+    while len(finer) < len(GRAINS) - 1:
+        counts = _with_slots(rows, long, order, finer).groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_rows"))
+        crowded = materialize(counts.where(F.col("_rows") > long.limit))
+        if crowded.isEmpty():
+            break
+        finer.append(crowded)
+    return finer
+
+
+def _cut(df: DataFrame, long: LongGroups, order: str, before: int, after: int, finer: list[DataFrame]) -> DataFrame:
+    """Per long group and slot: its segment, and the first and last segment reading it.
+
+    One row per day of a series, and more only where a day is crowded, so a
+    group's rows here are few however many readings it holds.
     """
     keys = list(long.keys)
     days = (
-        join_groups(df, long.keys_table, keys, "left_semi")
-        .groupBy(*keys, _slot(order).alias("_slot"))
+        _with_slots(join_groups(df, long.keys_table, keys, "left_semi").select(*keys, order), long, order, finer)
+        .groupBy(*keys, "_slot")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     in_order = Window.partitionBy(*keys).orderBy("_slot")
@@ -136,9 +168,10 @@ def as_series(
         long = find_long_groups(df, keys)
     if not long:
         return Series(df, list(keys), order)
-    cut = materialize(_cut(df, long, order, before, after))
+    finer = _crowded_slots(df, long, order)
+    cut = materialize(_cut(df, long, order, before, after, finer))
     rows = (
-        join_groups(df.withColumn("_slot", _slot(order)), cut, [*keys, "_slot"], "left")
+        join_groups(_with_slots(df, long, order, finer), cut, [*keys, "_slot"], "left")
         .withColumn(_OWNER, F.coalesce(_OWNER, F.lit(0)))
         .withColumn(
             SEGMENT,

@@ -15,6 +15,7 @@ from wattline.operators.cleaning import cap_outliers, clean_readings, fill_weath
 from wattline.operators.features import with_use_codes
 from wattline.operators.joins import join_buildings, join_weather
 from wattline.schemas import BUILDINGS, READINGS, WEATHER
+from wattline.session import materialize
 
 # Fixed value: reference year when no building has a construction year.
 DEFAULT_REFERENCE_YEAR = 2017
@@ -55,22 +56,39 @@ def read_weather(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 def first_rows(df: DataFrame, rows: int, in_one_task: int = 100_000) -> DataFrame:
     """The earliest rows, in a defined order (time, building, meter); a missing time is the earliest.
 
-    Few rows come from one sort. For more, the hour that holds the last of them
-    is found from the counts per hour, and only that hour's rows are sorted.
+    Few rows come from one sort. For more, the time that holds the last of them
+    is found from the counts per time, and only that time's rows are sorted.
     """
     if rows <= in_one_task:
         return df.orderBy("timestamp", "building_id", "meter").limit(rows)
-    so_far = Window.orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
-    hours = df.groupBy("timestamp").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(so_far))
-    border = hours.where(F.col("upto") >= rows).orderBy("upto").limit(1).collect()
-    if not border:
+    border = _time_of_row(df.groupBy("timestamp").agg(F.count(F.lit(1)).alias("n")), rows)
+    if border is None:
         return df
-    hour, left = F.lit(border[0]["timestamp"]), rows - (border[0]["upto"] - border[0]["n"])
+    time, left = F.lit(border[0]), rows - border[1]
     at = F.col("timestamp")
-    last = df.where(at.eqNullSafe(hour)).orderBy("building_id", "meter").limit(left)
-    if border[0]["timestamp"] is None:
+    last = df.where(at.eqNullSafe(time)).orderBy("building_id", "meter").limit(left)
+    if border[0] is None:
         return last
-    return df.where(at.isNull() | (at < hour)).unionByName(last)
+    return df.where(at.isNull() | (at < time)).unionByName(last)
+
+
+def _time_of_row(counts: DataFrame, row: int) -> tuple | None:
+    """The time at which the ``row``-th row stands, and how many rows come before that time.
+
+    Times may be as many as rows, so they are range-sorted and stored. The sizes of the ranges tell which one holds
+    the row, and that one's running counts tell the time; no task sees more than a range.
+    """
+    ranged = materialize(counts.orderBy("timestamp").withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range of the sort, a number fixed by the shuffle setting
+    sizes = ranged.groupBy("part").agg(F.sum("n").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    part = sizes.where((F.col("ahead") < row) & (F.col("ahead") + F.col("n") >= row)).collect()
+    if not part:
+        return None
+    so_far = Window.partitionBy("part").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.where(F.col("part") == part[0]["part"]).withColumn("ahead", F.coalesce(F.sum("n").over(so_far), F.lit(0)) + part[0]["ahead"])
+    found = inside.where((F.col("ahead") < row) & (F.col("ahead") + F.col("n") >= row)).first()
+    return found["timestamp"], found["ahead"]
 
 
 def describe_buildings(buildings: DataFrame) -> DataFrame:
