@@ -1,8 +1,13 @@
 """Benchmark passages: the filter loses nothing, the alignment is exact."""
 
 import random
+import time
 
-from wattline.llm.op1_decontamination import align, build_index, find_leaks, grams, matches, normalise, original_places
+import numpy as np
+from pyspark.sql import functions as F
+
+from wattline.llm import op1_decontamination as op1
+from wattline.llm.op1_decontamination import align, band_counts, build_index, find_leaks, grams, matches, normalise, original_places
 
 ITEM = "Which of the rivers that cross the old town carries the most water in spring, and why does it flood the lower market?"
 
@@ -80,3 +85,34 @@ def test_table(spark, docs, nothing):
         assert found == {(900, (1,)), (901, (4,))}
     assert find_leaks(rows, bench).columns == [*rows.columns, "leaks"]
     assert find_leaks(nothing, bench).count() == 0 and find_leaks(docs, bench.limit(0)).where("size(leaks) > 0").count() == 0
+
+
+def test_repeated_characters():
+    """A line of one character in an item and a text full of it: bands are counted without spreading out the pairs."""
+    index = build_index([(1, "-" * 400), (2, "ab" * 40 + " and then some more words of the item")], q=12, rate=0.06)
+    started = time.process_time()
+    found = matches(index, ["-" * 500_000 + " x " + "ab" * 200_000, "a short one", "-" * 390 + "+" + "-" * 9])
+    assert time.process_time() - started < 60
+    assert found[1] == [] and [m[0] for m in found[2]] == [0]
+    places = [m[1:3] for m in found[0]]
+    assert len(places) > 1000 and all(b - a <= 424 for a, b in places) and all(x[1] <= y[0] for x, y in zip(places, places[1:], strict=False))
+
+
+def test_heavy_grams_keep_every_band(monkeypatch):
+    rng = random.Random(9)
+    items = [(i, "".join(rng.choice("ab") for _ in range(rng.randint(60, 200)))) for i in range(4)]
+    index = build_index(items, q=12, rate=0.06)
+    texts = ["".join(rng.choice("ab") for _ in range(300)) + items[i % 4][1] + "ab" * 50 for i in range(6)]
+    plain = matches(index, texts)
+    for heavy in (0, 3):
+        monkeypatch.setattr(op1, "HEAVY_PAIRS", heavy)
+        monkeypatch.setattr(op1, "LOT", 7)
+        assert matches(index, texts) == plain
+    assert all(any(m[0] == i % 4 and m[3] == 0 for m in found) for i, found in enumerate(plain))
+    assert [len(x) for x in band_counts(index, np.zeros(0, int), np.zeros(0, int), 10)] == [0, 0]
+
+
+def test_columns_named_like_inner_ones(spark):
+    rows = spark.createDataFrame([(1, "x " + ITEM, 3)], "doc_id bigint, text string, more int").withColumns({c: F.lit(c) for c in ("score", "key", "id", "c", "leak")})
+    found = find_leaks(rows, spark.createDataFrame([(7, ITEM)], "item_id bigint, text string"))
+    assert set(found.columns) == {*rows.columns, "leaks"} and found.first().more == 3 and len(found.first().leaks) == 1

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -30,6 +31,25 @@ def test_odd_pages(page, text):
     assert extract(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p title=it's>First.</p><p>Second.</p><p>Third.</p></article>", "First.\n\nSecond.\n\nThird."),
+    ('<p>a <img alt=5"> b</p>', "a b"), ("<p>a <img alt=\'x\'y > b</p>", "a b"), ("<p a=b>c<d e</p>", "c"), ("<p>x<![CDATA[abc def", "xabc def"), ("<p>x<![CDATA[abc]]>d", "xabcd"),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>3</mn></math> be <label>so</label>.</p>", "Let x=3 be so."),
+    ("<article><p>Story here.</p></article><form><label>Name</label><p>f</p></form>", "Story here."),
+    ("<!-->a<!-- b -->c<!-- d", "ac"), ("a </ b>c <3", "a c <3"), ("<script>x</script y>z", "z"), ("<p>q<br/>r</p>", "q r"),
+])
+def test_markup_by_the_standard(page, text):
+    assert extract(page) == text
+
+
+@pytest.mark.parametrize("part", ["a < b <x ", "<x ", '<p title="', "<![CDATA[", "<!--", "<script>", "</", "<p a=", "<a b='\">"])
+def test_time_grows_with_the_page(part):
+    page = part * (1_000_000 // len(part))
+    started = time.process_time()
+    extract(page)
+    assert time.process_time() - started < 6
+
+
 def test_deep_and_long_pages():
     assert extract("<div>" * 20_000 + "deep") == "deep"
     assert extract("<article>" + "<p>word</p>" * 20_000 + "</article>").count("word") == 20_000

@@ -40,6 +40,15 @@ def vectors():
     return np.arange(1500), x.astype(float)
 
 
+def test_ties_go_to_the_smaller_id(spark):
+    """Vectors of zeros and ones: very many equal products, all told apart by id."""
+    rng = np.random.default_rng(6)
+    ids, x = rng.permutation(1200), rng.integers(0, 2, (1200, 11)).astype(float)
+    x[x.sum(axis=1) == 0, 0] = 1
+    found = lists(search(table(spark, ids, x), "vec_id", "embedding", F.col("id") % 20 == 0, k=20, curves=1, blocks=1, reach=0, unit=300))
+    assert found == brute(ids, x, 20, 20)
+
+
 def lists(df):
     out = {}
     for r in sorted(df.collect(), key=lambda r: (r.query_id, r.rank)):

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -63,8 +64,9 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
 def encode_digests(df: DataFrame, model_path: str, key: list[str], text: str = "text") -> DataFrame:
     """Round trip of every text in one pass, as digests, for when the ids themselves aren't to be moved.
 
-    ``n_tokens``, ``ids_sha256``, ``decoded_sha256``; ``n_bytes`` of the source and ``spans_cover``: whether the
-    spans follow each other and cover the source from its first byte to its last.
+    ``n_tokens``, ``ids_sha256``, ``decoded_sha256``; ``n_bytes`` of the source, ``spans_sha256`` (all starts, then all ends,
+    as little-endian unsigned 32-bit integers) and ``spans_cover``: whether the spans follow each other and cover the source
+    from its first byte to its last.
     """
     model = read_model(model_path)
 
@@ -72,7 +74,7 @@ def encode_digests(df: DataFrame, model_path: str, key: list[str], text: str = "
         own = codec(model)
         texts = [t or "" for t in texts]
         lists = own.encode_ids(texts)
-        out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "n_bytes": [], "spans_cover": []}
+        out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "n_bytes": [], "spans_cover": [], "spans_sha256": []}
         for source, ids, decoded in zip(texts, lists, own.lib.decode([x.tolist() for x in lists]), strict=True):
             e = own.align(source, ids)
             size = len(source.encode())
@@ -82,7 +84,8 @@ def encode_digests(df: DataFrame, model_path: str, key: list[str], text: str = "
             out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
             out["n_bytes"].append(size)
             out["spans_cover"].append(bool(cover))
+            out["spans_sha256"].append(hashlib.sha256(np.stack((e.starts, e.ends)).astype("<u4").tobytes()).hexdigest())
         return out
 
-    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint, spans_cover boolean"
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint, spans_cover boolean, spans_sha256 string"
     return map_texts(df, text, schema, make, key)

@@ -17,6 +17,7 @@ largest budget that does; items that repeat (same id) are searched each; places
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 from wattline.llm.common import map_texts
 
 BITS = 22
+#: Pairs of places that are spread out at once, and above which a gram is counted band by band.
+LOT, HEAVY_PAIRS = 1 << 18, 1 << 16
+REGIONS = 1024
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -128,6 +132,67 @@ def align(item: bytes, region: bytes, slack: int, budget: int) -> tuple[int, int
     return edits, int(starts[int(back.argmin())]), end
 
 
+def band_counts(index: Index, at: np.ndarray, slot: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shared q-grams by diagonal band, as (piece * span + band + 1, number); ``at`` and ``slot``: places of known grams in the
+    texts, and which grams they are.
+
+    Pairs of a gram's places in the texts and in the items are spread out in lots of bounded size. A gram with very many
+    pairs (one character or a short pattern, repeated) isn't: for each of its places in an item, the bands are found in
+    which the text has the gram at all, so that its cost grows with the bands, not with the pairs.
+    """
+    places = index.begins[slot + 1] - index.begins[slot]
+    often = np.bincount(slot, minlength=len(index.codes))
+    heavy = often * np.diff(index.begins) > HEAVY_PAIRS
+    light = ~heavy[slot]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(keys, n):
+        found.append((keys, n))
+        if sum(len(k) for k, _ in found) > 4 * LOT:
+            found[:] = [_summed(found)]
+
+    lot_at, lot_slot, lot_places = at[light], slot[light], places[light]
+    upto = np.cumsum(lot_places)
+    for a, b in _lots(upto):
+        count = lot_places[a:b]
+        posting = np.repeat(index.begins[lot_slot[a:b]] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        piece, diagonal = index.piece_at[posting], np.repeat(lot_at[a:b], count) - index.place_at[posting]
+        width = index.widths[piece]
+        band = diagonal // width
+        late = (diagonal - band * width < index.budgets[piece]) & (band >= 0)  # these also lie in the part that the band before overlaps
+        own = band >= -1  # further ahead of the first text no item begins
+        add(*np.unique(np.concatenate((piece[own] * span + band[own] + 1, piece[late] * span + band[late])), return_counts=True))
+    for gram in np.flatnonzero(heavy).tolist():
+        own = at[slot == gram]
+        postings = slice(index.begins[gram], index.begins[gram + 1])
+        for piece in np.unique(index.piece_at[postings]).tolist():
+            inside = index.place_at[postings][index.piece_at[postings] == piece]
+            width, budget = int(index.widths[piece]), int(index.budgets[piece])
+            bands = np.unique(own // width)
+            bands = np.unique((bands[:, None] - np.arange(inside.min() // width - 1, inside.max() // width + 3)).ravel())
+            bands = bands[bands >= -1]
+            n = np.zeros(len(bands), np.int64)
+            for place in inside.tolist():
+                n += np.searchsorted(own, (bands + 1) * width + budget + place) > np.searchsorted(own, bands * width + place)
+            add(piece * span + bands[n > 0] + 1, n[n > 0])
+    return _summed(found) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _lots(upto: np.ndarray):
+    """Consecutive stretches whose numbers add up to about ``LOT``, one element at least."""
+    a = 0
+    while a < len(upto):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + LOT, "right")))
+        yield a, b
+        a = b
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    keys, place = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(place, n).astype(np.int64)
+
+
 def matches(index: Index, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
     """For every text, (piece, start, end, edits) in the normalised text; overlapping finds of a piece keep the best."""
     data = [normalise(t) for t in texts]
@@ -143,18 +208,11 @@ def matches(index: Index, texts: list[str | None]) -> list[list[tuple[int, int,
     slot = np.minimum(np.searchsorted(index.codes, code[at]), len(index.codes) - 1)
     real = index.codes[slot] == code[at]
     at, slot = at[real], slot[real]
-    count = index.begins[slot + 1] - index.begins[slot]
-    total = int(count.sum())
-    if not total:
+    if not len(at):
         return out
-    posting = np.repeat(index.begins[slot] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(total)
-    piece, diagonal = index.piece_at[posting], np.repeat(at, count) - index.place_at[posting]
-    width, budget = index.widths[piece], index.budgets[piece]
-    band = diagonal // width
-    late = diagonal - band * width < budget  # these also lie in the part that the band before overlaps
     span = int(len(joined)) + 2
-    keys = np.concatenate((piece * span + band + 1, piece[late] * span + band[late]))
-    keys, n = np.unique(keys, return_counts=True)
+    keys, n = band_counts(index, at, slot, span)
+    aligned: dict[tuple[int, bytes], tuple[int, int, int]] = {}  # repetitive texts have the same region many times
     for key in keys[n >= index.needed[keys // span]].tolist():
         p, b = divmod(key, span)
         low, slack = (b - 1) * int(index.widths[p]), int(index.widths[p] + index.budgets[p])
@@ -166,16 +224,25 @@ def matches(index: Index, texts: list[str | None]) -> list[list[tuple[int, int,
             stop = min(low + slack + len(item) + k, int(begins[d]) + len(data[d]))
             if stop - start < len(item) - k:
                 continue
-            edits, s, e = align(item, joined[start:stop], max(0, min(slack + 2 * k, stop - start - len(item) + k)), k)
+            region = joined[start:stop]
+            known = aligned.get((p, region))
+            if known is None:
+                known = align(item, region, max(0, min(slack + 2 * k, stop - start - len(item) + k)), k)
+                if len(aligned) >= REGIONS:
+                    aligned.clear()
+                aligned[p, region] = known
+            edits, s, e = known
             if edits <= k:
                 out[d].append((p, start - int(begins[d]) + s, start - int(begins[d]) + e, edits))
     for found in out:
         found.sort(key=lambda m: (m[0], m[3], m[1]))
-        kept: list = []
+        kept: dict[int, list] = {}
         for m in found:
-            if not any(x[0] == m[0] and x[1] < m[2] and m[1] < x[2] for x in kept):
-                kept.append(m)
-        found[:] = sorted(kept, key=lambda m: (m[1], m[0]))
+            own = kept.setdefault(m[0], [])  # of one piece, without overlaps and in order
+            i = bisect_left(own, m[1], key=lambda x: x[1])
+            if (i == 0 or own[i - 1][2] <= m[1]) and (i == len(own) or m[2] <= own[i][1]):
+                own.insert(i, m)
+        found[:] = sorted((m for own in kept.values() for m in own), key=lambda m: (m[1], m[0]))
     return out
 
 
@@ -221,7 +288,7 @@ def _pass(df: DataFrame, index: Index, text: str) -> DataFrame:
             row = [{"item_id": own.ids[m[0]], "start": places[2 * i], "end": places[2 * i + 1], "edits": m[3]} for i, m in enumerate(found)]
             row += [{"item_id": key, "start": 0, "end": len(t), "edits": 0} for key in own.short.get(normal, [])] if normal else []
             out.append(row)
-        return {"more": out}
+        return {"__more": out}
 
-    marked = map_texts(df, text, "more array<struct<item_id:bigint,start:bigint,end:bigint,edits:bigint>>", make, df.columns)
-    return marked.withColumn("leaks", F.concat("leaks", "more")).drop("more")
+    marked = map_texts(df, text, "__more array<struct<item_id:bigint,start:bigint,end:bigint,edits:bigint>>", make, df.columns)
+    return marked.withColumn("leaks", F.concat("leaks", "__more")).drop("__more")

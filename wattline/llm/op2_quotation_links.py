@@ -86,14 +86,16 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     said = said.where(F.col("piece") != "").select("c", "t", F.xxhash64("piece").alias("h")).distinct()
 
     # what each message quotes: runs of lines of one depth, whole and by line
-    begun = lambda acc, x: F.when(
-        x["depth"] == F.coalesce(F.try_element_at(acc, F.lit(-1))["depth"], F.lit(-1)),
-        F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(x["depth"].alias("depth"), F.concat(F.try_element_at(acc, F.lit(-1))["body"], F.lit("\n"), x["body"]).alias("body")))),
-    ).otherwise(F.concat(acc, F.array(F.struct(x["depth"].alias("depth"), x["body"].alias("body")))))
     quoting = base.where(F.exists("lines", lambda x: x["depth"] > 0))
-    runs = quoting.select("c", "t", F.aggregate("lines", F.array().cast("array<struct<depth:int,body:string>>"), begun).alias("runs"))
-    passages = runs.select("c", "t", F.posexplode("runs").alias("p", "run")).where("run.depth > 0 AND trim(run.body) <> ''")
-    passages = materialize(passages.select("c", "t", "p", F.col("run.depth").alias("depth"), F.col("run.body").alias("body")))
+    # a message's lines are numbered and grouped by changes of depth; messages of one turn are told apart by their lines
+    lines = quoting.select("c", "t", F.xxhash64("lines").alias("m"), F.posexplode("lines").alias("i", "line"))
+    in_order = Window.partitionBy("c", "t", "m").orderBy("i")
+    changed = F.coalesce(F.col("line.depth") != F.lag("line.depth").over(in_order), F.lit(False))
+    lines = lines.withColumn("changed", changed.cast("int"))
+    lines = lines.withColumn("p", F.sum("changed").over(in_order)).where("line.depth > 0")
+    together = F.array_sort(F.collect_list(F.struct("i", F.col("line.body").alias("body"))))
+    runs = lines.groupBy("c", "t", "m", "p").agg(F.first("line.depth").alias("depth"), F.array_join(F.transform(together, lambda x: x["body"]), "\n").alias("body"))
+    passages = materialize(runs.where("trim(body) <> ''").select("c", "t", "p", "depth", "body"))
     units = passages.select("c", "t", "p", "depth", F.explode(F.array_distinct(F.concat(F.array(F.struct(F.lit(True).alias("whole"), normalised(F.col("body")).alias("u"))), F.transform(F.split("body", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), normalised(x).alias("u")))))).alias("x"))
     units = units.select("c", "t", "p", "depth", F.col("x.whole").alias("whole"), F.length("x.u").alias("size"), F.xxhash64("x.u").alias("h")).where((F.col("size") > 0) & (F.col("whole") | (F.col("size") >= min_chars)))
 
@@ -128,7 +130,8 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
         F.concat(F.coalesce("path", F.array().cast("array<bigint>")), F.array("t")).alias("place"),
         F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
     )
-    out = rows.join(placed, (F.col(conv) == F.col("c")) & (F.col(turn).cast("bigint") == F.col("t")), "left")
+    placed = placed.withColumnsRenamed({"c": "__c", "t": "__t"})
+    out = rows.join(placed, (F.col(conv) == F.col("__c")) & (F.col(turn).cast("bigint") == F.col("__t")), "left")
     block = F.concat(F.lit("<|"), F.coalesce(F.col(role) if role in columns else F.lit(None), F.lit("user")), F.lit("|>\n"), F.coalesce("__own", F.lit("")))
     made = {text: F.col("__own"), "reply_to": F.col("reply_to"), "place": F.col("place"), "n_quoted": F.coalesce("n_quoted", F.lit(0)), "n_linked": F.coalesce("n_linked", F.lit(0)), "format": block}
     return out.select(*[made[c].alias(c) if c == text else F.col(f"`{c}`") for c in columns], *[made[c].alias(c) for c in MADE])

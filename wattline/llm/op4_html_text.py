@@ -6,8 +6,11 @@ links; a node's density sum adds up its children's densities. The least density
 the body is the threshold; among nodes that reach it, the one with the largest density sum is the main subtree. It is
 widened to its parent while the parent keeps at least half its density, so that sections stay together.
 
+Tags are told apart as the markup standard does, in one pass that reads no character twice: a quote inside an unquoted value
+or a name opens nothing, and a tag that the page ends in drops what follows.
+
 Never part of the text, and cut out before densities are taken: navigation, footers, sidebars, scripts, styles and the
-like by their element. Cut out where they don't hold the page's own text: forms and page headers outside an article;
+like by their element, and the labels of a form. Cut out where they don't hold the page's own text: forms and page headers outside an article;
 adverts, notices, menus, comments and the like by class, id and role (names made of such words only: ``sidebar`` and
 ``cookie-notice``, not ``has-sidebar``); hidden elements. Articles and main elements and what holds one always stay,
 and so does a node with most of the page's text outside links, unless an article beside it (or, for comments, around it)
@@ -23,21 +26,25 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
 from wattline.llm.common import map_texts
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'=<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+# As the markup standard reads them. Repetitions are possessive: what was read is never read again.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*+)?)?+|=)*+)>""")
+COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.S)
+ATTRIBUTE = re.compile(r"""=?([^\s/>=]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>][^\s>]*+)?)?+""")
 
 # fixed values: what the markup standard and common practice give
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed", "noframes"}
-CUT = RAW | {"nav", "footer", "aside", "button", "select", "option", "svg", "canvas", "object", "audio", "video", "head", "menu", "dialog", "label", "input", "math", "map"}
+CUT = RAW | {"nav", "footer", "aside", "button", "select", "option", "svg", "canvas", "object", "audio", "video", "head", "menu", "dialog", "input", "map"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = {
     "b", "i", "em", "strong", "span", "u", "s", "small", "big", "font", "tt", "code", "kbd", "samp", "var", "sub", "sup", "mark", "q",
-    "cite", "abbr", "acronym", "time", "del", "ins", "bdi", "bdo", "dfn", "strike", "ruby", "rb", "rt", "rp", "data", "a", "wbr", "center",
+    "cite", "abbr", "acronym", "time", "del", "ins", "bdi", "bdo", "dfn", "strike", "ruby", "rb", "rt", "rp", "data", "a", "wbr", "center", "label",
+    "math", "mrow", "mi", "mo", "mn", "mtext", "ms", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder", "munderover",
 }
 BLOCKS_CLOSE_P = {
     "p", "div", "ul", "ol", "dl", "h1", "h2", "h3", "h4", "h5", "h6", "table", "article", "section", "header", "footer", "nav", "aside",
@@ -89,6 +96,11 @@ def doubtful(tag: str, attributes: str, article: bool) -> str:
     return found
 
 
+@lru_cache(maxsize=len(RAW))
+def raw_end(name: str) -> re.Pattern:
+    return re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.I)
+
+
 def parse(page: str) -> Node:
     """The tree of block elements; cut ones are read past but hold nothing."""
     root = Node("body", None, False)
@@ -114,20 +126,30 @@ def parse(page: str) -> Node:
                 return
 
     while at < end:
-        m = TOKEN.search(page, at)
-        if m is None:
-            rest = page[at:]
-            cut = re.search(r"<[a-zA-Z/!]", rest)  # a tag that the page breaks off in
-            text(rest[: cut.start()] if cut else rest)
+        start = page.find("<", at)
+        if start < 0:
+            text(page[at:])
             break
-        if m.start() > at:
-            text(page[at : m.start()])
-        at = m.end()
-        name = m.group(2)
-        if name is None:
-            if page.startswith("<![CDATA[", m.start()):
-                text(page[m.start() + 9 : at - 3])
+        if start > at:
+            text(page[at:start])
+        kind = page[start + 1 : start + 2]
+        m = TAG.match(page, start)
+        if m is None:
+            if page.startswith("<![CDATA[", start):
+                stop = page.find("]]>", start)
+                text(page[start + 9 : stop if stop >= 0 else end])
+                at = stop + 3 if stop >= 0 else end
+            elif page.startswith("<!--", start):
+                at = COMMENT.match(page, start).end()
+            elif kind in ("!", "?", "/") and kind:
+                at = page.find(">", start) + 1 or end
+            elif kind.isascii() and kind.isalpha():
+                break  # a tag that the page ends in
+            else:
+                text("<")
+                at = start + 1
             continue
+        at, name = m.end(), m.group(2)
         name, attributes = name.lower(), m.group(3)
         if m.group(1):
             if name == "a":
@@ -145,12 +167,15 @@ def parse(page: str) -> Node:
         if name in ("html", "body"):
             continue
         if name in RAW:
-            done = re.compile(f"</{name}\\s*>", re.I).search(page, at)
+            done = raw_end(name).search(page, at)
             at = done.end() if done else end
             continue
         parent = stack[-1]
         if name in INLINE or name in VOID:
-            if name == "a" and not attributes.rstrip().endswith("/"):
+            if name == "label" and not parent.cut and any(x.tag == "form" for x in stack):
+                node = Node(name, parent, True)
+                stack.append(node)
+            elif name == "a" and not attributes.rstrip().endswith("/"):
                 links += 1
                 parent.link_tags += not parent.cut
                 parent.tags += not parent.cut

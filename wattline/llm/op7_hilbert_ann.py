@@ -143,15 +143,20 @@ def search(
         q, c, cid = m[asks], m[~asks][order], first[~asks][order]
         if not len(q) or not len(c):
             return pa.table({"q": pa.array([], pa.int64()), "first": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        take, out = min(k + 13, len(c)), []
-        for at in range(0, len(q), 256):
-            near = np.argpartition(-(q[at : at + 256] @ c.T), take - 1, axis=1)[:, :take]
-            near.sort(axis=1)
-            exact = np.einsum("ij,inj->in", q[at : at + 256], c[near])
-            best = np.argsort(-exact, axis=1, kind="stable")[:, : k + 1]
-            out.append((np.take_along_axis(near, best, 1), np.take_along_axis(exact, best, 1)))
-        near, score = np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
-        return pa.table({"q": np.repeat(first[asks], near.shape[1]), "first": cid[near.ravel()], "score": score.ravel()})
+        take, out = min(k + 1, len(c)), []
+        # products of blocks may be rounded otherwise than a pair's own: whatever could be among the nearest is measured
+        margin = 8 * c.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1)) * np.sqrt((c * c).sum(axis=1).max())
+        for at in range(0, len(q), 64):
+            product = q[at : at + 64] @ c.T
+            least = np.partition(product, len(c) - take, axis=1)[:, len(c) - take] - 2 * margin[at : at + 64]
+            row, near = np.nonzero(product >= least[:, None])
+            exact = np.concatenate([(q[at + row[b : b + 65536]] * c[near[b : b + 65536]]).sum(axis=1) for b in range(0, len(row), 65536)])
+            order = np.lexsort((near, -exact, row))
+            place = np.arange(len(row)) - np.searchsorted(row, row)  # candidates are sorted by query, so are the ordered ones
+            best = order[place < take]
+            out.append((at + row[best], near[best], exact[best]))
+        row, near, score = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table({"q": first[asks][row], "first": cid[near], "score": score})
 
     pairs = left.unionByName(right).groupBy("curve", "block", "q", "c").applyInArrow(rank, "q bigint, first bigint, score double")
     merged = pairs.groupBy("q", "first").agg(F.max("score").alias("score"))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from wattline.llm.common import map_texts
 from wattline.llm.components import connected_components
-from wattline.session import discard, materialize
+from wattline.session import discard, drop_shuffles, materialize
 
 MIX1, MIX2, MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Rows of a part of a family that are compared with all others, before blocks are.
@@ -346,6 +346,7 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     kept = fronts.join(shared, "x").groupBy("id", "needed").agg(F.count("*").alias("c")).where("c >= needed").select("id")
     kept = materialize(kept.distinct())
     discard(described)
+    drop_shuffles(df.sparkSession)
 
     def sets(texts):
         found = shingle_sets(texts, width)
@@ -363,10 +364,12 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     if not rows.where("n > 0").groupBy("id", "name").count().where("count > 1").isEmpty():
         again = again.dropDuplicates(["id", "name"])
     again = materialize(again)
+    drop_shuffles(df.sparkSession)
     product = Product(again, bound, all_links)
     narrow = again.select("id", "name", "level", "n")
 
     family = _families(_numbers(again.select("id", F.explode("signs").alias("sign")), "id", "sign"))
+    drop_shuffles(df.sparkSession)
     links, large = product.links_of(narrow.join(family, "id").withColumn("kind", F.lit(0)), block, block_cells, all_links)
     if all_links or large.isEmpty():
         discard(kept, *([] if all_links else [again]))
