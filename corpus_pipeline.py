@@ -8,7 +8,10 @@ Each stage gets what the one before kept, and drops or makes what its operator d
    with the smallest id stays, one without an id only if none has one. Every row is compared by its own text, also where
    ids repeat or are missing; only rows that repeat both id and text are one document.
 4. ``decontamination``: documents that hold a benchmark item within its edit budget go.
-5. ``sentencepiece``: the rest is encoded with begin and end ids and decoded again.
+5. ``sentencepiece``: the rest is encoded with begin and end ids, with each piece's byte span in the text, and decoded
+   again. Of the columns, doc_id, lang and source go on.
+
+Other columns are carried along whatever their names.
 
 Null and empty texts go at the first stage; an empty table passes through as an empty table. Models are learned from the
 stage's input and the labels, never from rows held out by the crc32 of their id. Stages are written as Parquet and read
@@ -36,24 +39,34 @@ def _learn() -> Column:
     return ~in_fold(F.col("doc_id"), 4, 2)
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns as one, so that none can clash with what an operator makes."""
+    return docs.select("text", "doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row"))
+
+
+def _unpacked(kept: DataFrame, columns: list[str]) -> DataFrame:
+    return kept.select(*[F.col("text") if c == "text" else F.col("__row")[c].alias(c) for c in columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify(docs, train_language(docs, _learn()), keep=docs.columns)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)).select(docs.columns)
+    found = identify(_packed(docs), train_language(docs, _learn()), keep=["text", "__row"])
+    return _unpacked(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)), docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train_toxicity(docs, table(spark, sf_dir, "labels"), _learn())
-    return score(docs, model, threshold=0.3, keep=docs.columns).where("predicted = 0").select(docs.columns)
+    found = score(_packed(docs), model, threshold=0.3, keep=["text", "__row"])
+    return _unpacked(found.where("predicted = 0"), docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # a row's key is a hash of its id and text, the same whenever the row is read
     own = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
-    found = components(docs.select(own.alias("key"), "text"), "key", "text", percent=80, width=5).select(F.col("id").alias("key"), "component")
-    ids = docs.select(own.alias("key"), "doc_id").distinct()
-    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))
-    first = found.distinct().join(ids, "key").groupBy("component").agg(smallest.alias("x")).select("x.key")
-    return docs.withColumn("key", own).join(first, "key", "left_semi").dropDuplicates(["key"]).select(docs.columns)
+    found = components(docs.select(own.alias("__key"), "text"), "__key", "text", percent=80, width=5).select(F.col("id").alias("__key"), "component")
+    ids = docs.select(own.alias("__key"), "doc_id").distinct()
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__key"))
+    first = found.distinct().join(ids, "__key").groupBy("component").agg(smallest.alias("x")).select("x.__key")
+    return docs.withColumn("__key", own).join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +77,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from wattline.llm.queries import model_path
 
-    return encode(docs.select("doc_id", "lang", "source", "text"), model_path(), check=True)
+    return encode(docs.select("doc_id", "lang", "source", "text"), model_path(), spans=True, check=True)
 
 
 STAGES = [
