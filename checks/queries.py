@@ -39,8 +39,8 @@ class Check:
 
 CHECKS: dict[str, Check] = {}
 SETTINGS = Settings(holdout="INTERVAL 7 DAYS")
-# The library's learners with fewer rounds, where a query fits many models.
-QUICK = BoosterSettings(rounds=20, patience=5, forest_trees=10)
+# The library's learners with fewer rounds: at 100 rounds a fit takes minutes here.
+QUICK = BoosterSettings(rounds=12, patience=4, forest_trees=10)
 
 
 def check(name: str, oracle: str | None = None):
@@ -726,7 +726,7 @@ def _usable(forecast):
 @check("h4_d14_boosted_trees", _HELD)
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    return _usable(models.fit_boosted_trees(train, held_out, SETTINGS.booster))
+    return _usable(models.fit_boosted_trees(train, held_out, QUICK))
 
 
 # Readings with a daily and weekly shape of each building, and the given readings as noise.
@@ -737,10 +737,10 @@ _SHAPED = f"""SELECT *, lag(meter_reading, 24) OVER ({Q.W}) AS lag_24h, lag(mete
 
 
 @check("h4_beats_baselines", f"""
-WITH s AS (SELECT * FROM ({_SHAPED}) WHERE lag_168h IS NOT NULL), b AS (SELECT max(timestamp) - INTERVAL 7 DAY AS at FROM s),
-     v AS (SELECT s.* FROM s, b WHERE timestamp >= at), m AS (SELECT building_id, meter, avg(meter_reading) AS p FROM s, b WHERE timestamp < at GROUP BY 1, 2)
+SELECT * FROM (WITH s AS (SELECT * FROM ({_SHAPED}) WHERE lag_168h IS NOT NULL), b AS (SELECT max(timestamp) - INTERVAL 7 DAY AS cut FROM s),
+     v AS (SELECT s.* FROM s, b WHERE timestamp >= cut), m AS (SELECT building_id, meter, avg(meter_reading) AS p FROM s, b WHERE timestamp < cut GROUP BY 1, 2)
 SELECT 'meter_mean' AS model, round(sqrt(avg(pow(meter_reading - p, 2))), 4) AS rmse, true AS beaten FROM v JOIN m USING (building_id, meter)
-UNION ALL SELECT 'persistence', round(sqrt(avg(pow(meter_reading - lag_24h, 2))), 4), true FROM v""")
+UNION ALL SELECT 'persistence', round(sqrt(avg(pow(meter_reading - lag_24h, 2))), 4), true FROM v)""")
 def _(spark, sf):
     shape = F.expr(_SHAPE.format(hour="hour(timestamp)", weekday="weekday(timestamp)")).cast("double")
     rows = add_lags(_rd(spark, sf).withColumn(TARGET, shape)).drop("lag_diff_24h").where("lag_168h IS NOT NULL")
@@ -755,7 +755,7 @@ def _(spark, sf):
 @check("h5_second_learner", _HELD)
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    return _usable(models.fit_forest(train, held_out, SETTINGS.booster))
+    return _usable(models.fit_forest(train, held_out, QUICK))
 
 
 _METRICS = """SELECT '{name}' AS model, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae, count(*) AS n_val,
@@ -769,7 +769,7 @@ _METRICS = """SELECT '{name}' AS model, round(sqrt(avg(e * e)), 4) AS rmse, roun
       for m in ("forest", "boosted_trees")]]))
 def _(spark, sf):
     # The learners' errors have no counterpart in SQL: only that they are there is compared.
-    cfg, base = SETTINGS, F.col("model").isin("meter_mean", "persistence")
+    cfg, base = replace(SETTINGS, booster=QUICK), F.col("model").isin("meter_mean", "persistence")
     table = jobs.compare_job(_rd(spark, sf), _meta(spark, sf), _wx(spark, sf), cfg)
     return table.select(
         "model", *[F.when(base, F.round(c, 4)).alias(c) for c in ("rmse", "mae")], "n_val", "n_train",
@@ -811,14 +811,14 @@ def _(spark, sf):
 
 
 @check("h8_site_ridges", f"""
-WITH r AS (SELECT r.*, m.site_id, lag(meter_reading, 24) OVER ({Q.W}) AS x1, lag(meter_reading, 168) OVER ({Q.W}) AS x2 FROM rd r LEFT JOIN meta m USING (building_id)),
-     b AS (SELECT max(timestamp) - INTERVAL 7 DAY AS at FROM r),
+SELECT * FROM (WITH r AS (SELECT r.*, m.site_id, lag(meter_reading, 24) OVER ({Q.W}) AS x1, lag(meter_reading, 168) OVER ({Q.W}) AS x2 FROM rd r LEFT JOIN meta m USING (building_id)),
+     b AS (SELECT max(timestamp) - INTERVAL 7 DAY AS cut FROM r),
      s AS (SELECT site_id, avg(meter_reading) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS s11, var_pop(x2) AS s22, covar_pop(x1, x2) AS s12,
                   covar_pop(x1, meter_reading) AS s1y, covar_pop(x2, meter_reading) AS s2y
-           FROM r, b WHERE timestamp < at AND x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY 1 HAVING count(*) >= 100),
+           FROM r, b WHERE timestamp < cut AND x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY 1 HAVING count(*) >= 100),
      c AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM s)
 SELECT r.building_id, r.meter, r.timestamp, round(CASE WHEN b1 IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL THEN greatest(my + b1 * (x1 - m1) + b2 * (x2 - m2), 0.0) END, 3) AS predicted
-FROM (SELECT r.* FROM r, b WHERE timestamp >= at) r LEFT JOIN c USING (site_id)""")
+FROM (SELECT r.* FROM r, b WHERE timestamp >= cut) r LEFT JOIN c USING (site_id))""")
 def _(spark, sf):
     rows = joins.join_buildings(add_lags(_rd(spark, sf)), _meta(spark, sf), ["site_id"])
     train, held_out = split.time_split(materialize(rows), SETTINGS.holdout, check=False)
@@ -828,7 +828,7 @@ def _(spark, sf):
 @check("h11_step_size_search", "SELECT 3::BIGINT AS n_tried, true AS in_bounds, true AS best_first, (SELECT count(*) > 0 FROM run_val) AS scored")
 def _(spark, sf):
     _, train, held_out = _modelling(spark, sf, None)
-    best, table = models.search_step_size(train, held_out, QUICK, evaluations=3)
+    best, table = models.search_step_size(train, held_out, replace(QUICK, rounds=6), evaluations=3)
     step = F.col("step_size")
     return table.agg(
         F.count("step_size").alias("n_tried"), F.min((step >= 0.005) & (step <= 0.3)).alias("in_bounds"),
