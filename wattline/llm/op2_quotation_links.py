@@ -96,8 +96,8 @@ def link_quotes(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     together = F.array_sort(F.collect_list(F.struct("i", F.col("line.body").alias("body"))))
     runs = lines.groupBy("c", "t", "m", "p").agg(F.first("line.depth").alias("depth"), F.array_join(F.transform(together, lambda x: x["body"]), "\n").alias("body"))
     passages = materialize(runs.where("trim(body) <> ''").select("c", "t", "p", "depth", "body"))
-    units = passages.select("c", "t", "p", "depth", F.explode(F.array_distinct(F.concat(F.array(F.struct(F.lit(True).alias("whole"), normalised(F.col("body")).alias("u"))), F.transform(F.split("body", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), normalised(x).alias("u")))))).alias("x"))
-    units = units.select("c", "t", "p", "depth", F.col("x.whole").alias("whole"), F.length("x.u").alias("size"), F.xxhash64("x.u").alias("h")).where((F.col("size") > 0) & (F.col("whole") | (F.col("size") >= min_chars)))
+    units = passages.select("c", "t", "p", "depth", F.explode(F.concat(F.array(F.struct(F.lit(True).alias("whole"), normalised(F.col("body")).alias("u"))), F.transform(F.split("body", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), normalised(x).alias("u"))))).alias("x"))
+    units = units.select("c", "t", "p", "depth", F.col("x.whole").alias("whole"), F.length("x.u").alias("size"), F.xxhash64("x.u").alias("h")).where((F.col("size") > 0) & (F.col("whole") | (F.col("size") >= min_chars))).distinct()
 
     # the latest earlier message with the same hash: own pieces and quotes in one running maximum
     wanted = units.select("c", "h").distinct()
