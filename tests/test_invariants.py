@@ -4,18 +4,22 @@ import tempfile
 
 import pytest
 from helpers import assert_same, frame, hours, readings
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from checks.queries import CHECKS
 from wattline.config import BoosterSettings, Settings
 from wattline.functions.groups import LongGroups
+from wattline.functions.sequence import null_zero_runs
 from wattline.operators import models
+from wattline.operators.cleaning import cap_outliers, clean_readings, fill_weather
 from wattline.operators.features import add_sequence_features, build_features, feature_columns, narrow_floats
 from wattline.operators.split import predict_group_mean, time_split
 from wattline.plans import jobs
 from wattline.schemas import FEATURES
+from wattline.session import materialize
 from wattline.sources import sinks, standin
-from wattline.sources.readings import describe_buildings, enrich, read_table
+from wattline.sources.readings import describe_buildings, enrich, load_dataset, read_table
 from wattline.streaming.ingest import ingest, read_stream
 
 SF = "/root/testdata/sf0.001"
@@ -63,6 +67,38 @@ def test_sequence_work_takes_one_shuffle_and_no_python(sample, spark):
     assert "Python" not in text and "InPandas" not in text and "CartesianProduct" not in text
 
 
+def test_late_columns_take_no_part_in_the_sort(spark):
+    rows, buildings = materialize(standin.readings(spark, SF)), describe_buildings(standin.buildings(spark, SF))
+    weather = standin.weather(spark, SF)
+    found = load_dataset(rows, buildings, weather)
+    assert found.columns == enrich(rows, buildings, weather).columns
+    sorts = [line for line in plan(found).splitlines() if "Exchange hashpartitioning(building_id" in line]
+    assert len(sorts) == 1
+    narrow = null_zero_runs(cap_outliers(enrich(rows, buildings, weather)))
+    assert_same(found, narrow)
+
+
+def test_the_full_run_cleans_once(spark, monkeypatch, tmp_path):
+    seen = []
+
+    def counted(df, cfg):
+        seen.append(df)
+        return clean_readings(df, cfg)
+
+    monkeypatch.setattr(jobs, "clean_readings", counted)
+
+    def fit(train, held_out, cfg):
+        return models.Forecast("meter_mean", predict_group_mean(train, held_out), PipelineModel([]), [], 0.0)
+
+    rows, buildings = standin.readings(spark, SF), describe_buildings(standin.buildings(spark, SF))
+    weather = fill_weather(standin.weather(spark, SF))
+    settings = Settings(holdout="INTERVAL 7 DAYS")
+    jobs.audit_job(rows, buildings, weather, str(tmp_path), settings, fit)
+    assert len(seen) == 1
+    written = spark.read.csv(f"{tmp_path}/data_quality", header=True, inferSchema=True)
+    assert_same(written, jobs.quality_job(rows, buildings, weather), "site_id")
+
+
 def test_small_dimensions_are_broadcast_by_size_and_large_ones_shuffled(spark):
     rows, buildings = standin.readings(spark, SF), standin.buildings(spark, SF)
     joined = rows.join(buildings, "building_id", "left")

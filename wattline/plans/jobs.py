@@ -40,13 +40,23 @@ def feature_table(
     Only the columns the sequence work needs travel through its shuffle; the
     wide dimension columns are joined afterwards.
     """
+    return with_dimensions(cleaned_series(readings, buildings, cfg, long), buildings, weather, cfg)
+
+
+def cleaned_series(
+    readings: DataFrame, buildings: DataFrame, cfg: Settings = Settings(), long: LongGroups | None = None
+) -> DataFrame:
+    """Cleaned readings with their site, lags and rolling statistics: all that wants a meter's rows in order."""
     if long is None:
         long = find_long_groups(readings)
     rows = clean_readings(join_buildings(readings, buildings, ["site_id"]), cfg.cleaning)
-    rows = add_sequence_features(rows, cfg.features, cfg.cleaning, long)
+    return add_sequence_features(rows, cfg.features, cfg.cleaning, long)
+
+
+def with_dimensions(series: DataFrame, buildings: DataFrame, weather: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """A cleaned series with the other columns of its building, the weather and the features of single rows."""
     rest = [c for c in buildings.columns if c not in ("building_id", "site_id")]
-    rows = join_weather(join_buildings(rows, buildings, rest), weather)
-    return add_row_features(rows, cfg.features)
+    return add_row_features(join_weather(join_buildings(series, buildings, rest), weather), cfg.features)
 
 
 def cleaned_readings(
@@ -105,10 +115,13 @@ def raw_feature_job(readings: DataFrame, buildings: DataFrame, weather: DataFram
 
 
 def modelling_rows(
-    readings: DataFrame, buildings: DataFrame, weather: DataFrame, cfg: Settings, long: LongGroups | None = None
+    readings: DataFrame, buildings: DataFrame, weather: DataFrame, cfg: Settings, long: LongGroups | None = None,
+    series: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Complete feature rows, stored once, and their train and held-out parts."""
-    rows = materialize(drop_incomplete(feature_table(readings, buildings, weather, cfg, long)))
+    """Complete feature rows, stored once, and their train and held-out parts; of ``cleaned_series`` if that is given."""
+    if series is None:
+        series = cleaned_series(readings, buildings, cfg, long)
+    rows = materialize(drop_incomplete(with_dimensions(series, buildings, weather, cfg)))
     return (rows, *time_split(rows, cfg.holdout))
 
 
@@ -169,11 +182,16 @@ def audit_job(
     readings: DataFrame, buildings: DataFrame, weather: DataFrame, out: str, cfg: Settings = Settings(),
     fit: Callable[..., Forecast] = fit_boosted_trees,
 ) -> AuditRun:
-    """The full run; every result table is written below ``out``."""
+    """The full run; every result table is written below ``out``.
+
+    The readings are cleaned once: the series with its lags and rolling statistics is stored, and the quality report and
+    the model's rows are read from it.
+    """
     spark = readings.sparkSession
     long = find_long_groups(readings)
-    write_table(quality_job(readings, buildings, weather, long), f"{out}/data_quality")
-    rows, train, held_out = modelling_rows(readings, buildings, weather, cfg, long)
+    series = materialize(cleaned_series(readings, buildings, cfg, long))
+    write_table(quality_report(series), f"{out}/data_quality")
+    rows, train, held_out = modelling_rows(readings, buildings, weather, cfg, long, series)
     forecast = fit(train, held_out, cfg.booster)
     save_model(forecast.model, f"{out}/model")
     predictions = materialize(forecast.predictions.select(*KEYS, ORDER, TARGET, "site_id", "predicted"))

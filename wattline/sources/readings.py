@@ -109,13 +109,19 @@ def enrich(readings: DataFrame, buildings: DataFrame, weather: DataFrame) -> Dat
 def load_dataset(
     readings: DataFrame | Sequence[DataFrame], buildings: DataFrame, weather: DataFrame, clean: bool = True
 ) -> DataFrame:
-    """The joined data set from one or several reading tables, optionally capped and outage-free."""
+    """The joined data set from one or several reading tables, optionally capped and outage-free.
+
+    Caps and outages move and sort the readings with their site only; the other columns are joined afterwards.
+    """
     tables = [readings] if isinstance(readings, DataFrame) else list(readings)
     rows = tables[0]
     for table in tables[1:]:
         rows = rows.unionByName(table)
-    df = enrich(rows, buildings, weather)
     if not clean:
-        return df
+        return enrich(rows, buildings, weather)
     long = find_long_groups(rows)
-    return null_zero_runs(cap_outliers(df, long=long), long=long)
+    narrow = clean_readings(join_buildings(rows, buildings, ["site_id"]))
+    narrow = null_zero_runs(cap_outliers(narrow, long=long), long=long)
+    rest = [c for c in buildings.columns if c not in ("building_id", "site_id")]
+    df = join_weather(join_buildings(narrow, buildings, rest), weather)
+    return df.select(enrich(rows, buildings, weather).columns)
