@@ -78,3 +78,13 @@ def test_repeated_and_missing_ids(spark, small):
     assert kept.columns == table.columns
     found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
     assert found == sorted([(1, story[0]), (2, story[1]), (3, story[2]), (None, story[3]), (4, None), (5, "")], key=str)
+
+
+def test_texts_in_several_languages_stay(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    one = {r.lang: r.text for r in docs.where("lang IS NOT NULL AND length(text) > 400").groupBy("lang").agg(F.min("text").alias("text")).collect()}
+    parts = [" ".join(one[lang].split()[:25]) for lang in sorted(one)[:4]]
+    mixed = spark.createDataFrame([(10**9, "\n".join(parts)), (10**9 + 1, "12 34 !"), (10**9 + 2, None)], "doc_id bigint, text string")
+    rows = docs.unionByName(mixed, allowMissingColumns=True)
+    kept = {r.doc_id for r in C.language_id(spark, rows, small).where("doc_id >= 1000000000").collect()}
+    assert len(parts) > 2 and kept == {10**9}

@@ -223,18 +223,21 @@ def tag_words(tagger: Tagger, texts: list[str | None]) -> list[tuple[list[str],
 
 
 def identify(df: DataFrame, tagger: Tagger, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all other columns by default) with ``lang_pred``, ``score`` and ``switches`` between languages."""
+    """``keep`` (all other columns by default) with ``lang_pred``, ``score`` (the language's share of the letters),
+    ``switches`` between languages, and ``sureness``: the mean over letters of their word's likeliest language. A text in
+    several languages has a small score, but a sure label for each word."""
     spread = df.sparkSession.sparkContext.broadcast(tagger)  # the table of weights has a fixed size
     langs = tagger.langs
 
     def make(texts):
-        out = {"lang_pred": [], "score": [], "switches": []}
+        out = {"lang_pred": [], "score": [], "switches": [], "sureness": []}
         for words, gamma in tag_words(spread.value, texts):
             if not words or not langs:
-                best, score, switches = UNKNOWN, 0.0, 0
+                best, score, switches, sure = UNKNOWN, 0.0, 0, 0.0
             else:
                 size = np.fromiter(map(len, words), np.float64, len(words))
                 mass = size @ gamma / size.sum()
+                sure = float(min(1.0, size @ gamma.max(axis=1) / size.sum()))
                 at = int(mass.argmax())
                 best, score = langs[at], float(min(1.0, mass[at]))
                 path = gamma.argmax(axis=1)
@@ -242,8 +245,9 @@ def identify(df: DataFrame, tagger: Tagger, text: str = "text", keep: list[str]
             out["lang_pred"].append(best)
             out["score"].append(score)
             out["switches"].append(switches)
+            out["sureness"].append(sure)
         return out
 
-    made = ("lang_pred", "score", "switches")
+    made = ("lang_pred", "score", "switches", "sureness")
     keep = [c for c in df.columns if c != text and c not in made] if keep is None else keep
-    return map_texts(df, text, "lang_pred string, score double, switches bigint", make, keep, limit=512 << 10)
+    return map_texts(df, text, "lang_pred string, score double, switches bigint, sureness double", make, keep, limit=512 << 10)
