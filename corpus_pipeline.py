@@ -2,7 +2,8 @@
 
 Each stage gets what the one before kept, and drops or makes what its operator decides:
 
-1. ``language_id``: texts without a letter, and texts whose best language has less than half the mass, go.
+1. ``language_id``: texts without a letter, and texts whose words are labelled with a mean certainty below a half, go; a
+   text that mixes several languages stays.
 2. ``toxicity``: texts with a score of at least 0.3 go.
 3. ``ngram_jaccard``: of each group of near duplicates (five-word shingles, similarity of at least 0.8), the document
    with the smallest id stays, one without an id only if none has one. Every row is compared by its own text, also where
@@ -50,7 +51,7 @@ def _unpacked(kept: DataFrame, columns: list[str]) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = identify(_packed(docs), train_language(docs, _learn()), keep=["text", "__row"])
-    return _unpacked(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)), docs.columns)
+    return _unpacked(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("sureness") >= 0.5)), docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
