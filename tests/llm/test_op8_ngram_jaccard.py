@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from wattline.llm.components import connected_components
-from wattline.llm.op8_ngram_jaccard import Bound, block_links, components, link_sets, shingle_sets, signatures
+from wattline.llm.op8_ngram_jaccard import Bound, block_links, components, link_sets, may_link, parities, shingle_sets, signatures
 
 
 def words_of(text):
@@ -182,3 +182,18 @@ def test_rows_of_a_repeated_id_belong_together(spark):
     rows = [(1, "a b c d e f"), (5, "a b c d e f"), (3, "p q r s t u"), (5, "p q r s t u"), (5, None), (6, "k l m n o p"), (7, None)]
     found = components(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert sorted((r.id, r.component) for r in found.collect()) == [(1, 1), (3, 1), (5, 1), (5, 1), (5, 1), (6, 6), (7, 7)]
+
+
+def test_parities_never_hide_a_link():
+    rng = np.random.default_rng(4)
+    bound = Bound(80)
+    for size in (1, 5, 40, 700):
+        whole = rng.integers(0, 2**63, 2 * size).astype(np.uint64)
+        sets = [np.unique(np.concatenate((whole[: size + rng.integers(0, size // 4 + 1)][rng.random() < 0.5 :], whole[-rng.integers(1, size + 1) :]))) for _ in range(30)]
+        sets += [np.unique(rng.integers(0, 2**63, size).astype(np.uint64)) for _ in range(30)]
+        n = np.array([len(x) for x in sets])
+        ok = may_link([parities(x) for x in sets], n, [parities(x) for x in sets], n, bound)
+        shared = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+        linked = bound.linked(shared, n[:, None], n[None, :])
+        assert not (linked & ~ok).any() and linked.sum() > len(sets)
+    assert ok.sum() < 0.7 * ok.size

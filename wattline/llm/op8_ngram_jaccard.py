@@ -13,9 +13,10 @@
 3. Products of two sparse blocks of rows accumulate overlap counts, column range by column range; pairs below the overlap
    that their sizes demand are discarded, and what is left are the links. A family that fits in one block is one product.
    A larger one is cut into blocks of one size level, and first each block is multiplied with itself and a few pivot rows
-   of the family, so a row is sent once. What that joins is one component from then on. Then only rows that share a
-   signature with a row of another component take part: their families are formed anew, and all pairs of their blocks are
-   multiplied whose levels permit the threshold, but no block of the main component with another of it.
+   of the family, so a row is sent once. What that joins is one component from then on. Then all pairs of its blocks meet
+   whose levels permit the threshold, but no block of the main component with another of it: first only the parities of
+   the shingles' classes, a sixteenth of a set or less, whose differences are a lower bound of the sets' own. Rows that may link
+   with none of the other block go; the products are made of the rest.
    A product returns links that join its rows (a spanning forest), or all.
 4. Components of the links, carried back to every document.
 
@@ -152,6 +153,32 @@ def row_name(own: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(own.tobytes())
 
 
+def parities(own: np.ndarray) -> bytes:
+    """For each of 2^k classes of shingles, whether a set holds an odd number of them; at least four classes a shingle, up
+    to a million. Two sets differ in at least as many shingles as in parities."""
+    classes = min(1 << 20, 1 << max(6, (4 * len(own) - 1).bit_length()))
+    held = (scramble(own, MIX3) & np.uint64(classes - 1)).astype(np.int64)
+    return np.packbits((np.bincount(held, minlength=classes) & 1).astype(np.uint8)).tobytes()
+
+
+def may_link(left: list[bytes], n: np.ndarray, right: list[bytes], m: np.ndarray, bound: Bound) -> np.ndarray:
+    """Matrix of the pairs whose parities leave room for a link; ``n`` and ``m`` are the sizes of their sets."""
+    classes = 8 * min(map(len, left + right))
+
+    def signs(packed: list[bytes]) -> np.ndarray:
+        out = np.empty((len(packed), classes), np.float32)
+        for i, x in enumerate(packed):
+            bits = np.unpackbits(np.frombuffer(x, np.uint8))
+            while len(bits) > classes:  # classes of twice as many, two by two
+                bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+            out[i] = 1 - 2 * bits.astype(np.float32)
+        return out
+
+    apart = ((classes - signs(left) @ signs(right).T) / 2).astype(np.int64)
+    most = np.minimum((n[:, None] + m[None, :] - apart) // 2, np.minimum(n[:, None], m[None, :]))
+    return bound.linked(most, n[:, None], m[None, :])
+
+
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Which of the links (in order) join what wasn't joined before."""
     root = list(range(n))
@@ -231,7 +258,7 @@ def _with_blocks_of(part: Column, cell) -> Column:
 
 
 class Product:
-    """Products of blocks of the stored sets ``again`` (``id``, ``name``, ``shingles``)."""
+    """Products of blocks of the stored sets ``again`` (``id``, ``name``, ``n``, ``shingles``, ``parities``)."""
 
     def __init__(self, again: DataFrame, bound: Bound, all_links: bool):
         self.again, self.bound, self.all_links = again, bound, all_links
@@ -262,6 +289,30 @@ class Product:
 
         return work.groupBy("family", "part1", "cut1", "part2", "cut2").applyInArrow(multiply, "a bigint, b bigint, overlap bigint")
 
+    def promising(self, tasks: DataFrame) -> DataFrame:
+        """The rows of ``tasks`` that, by parities and sizes, may link with another row of their cell."""
+        bound = self.bound
+        work = self.again.select("id", "name", "n", "parities").join(tasks, ["id", "name"]).select("id", "name", "n", "parities", "family", "cell.*", "own.*")
+
+        def pick(part: pa.Table) -> pa.Table:
+            n, packed = np.asarray(part.column("n")), part.column("parities").to_pylist()
+            own = np.stack([np.asarray(part.column(c)) for c in ("part", "cut")])
+            i, j = ((part.column(f"part{x}")[0].as_py(), part.column(f"cut{x}")[0].as_py()) for x in (1, 2))
+            left, right = (np.flatnonzero((own[0] == x[0]) & (own[1] == x[1])) for x in (i, j))
+            keep = np.zeros(len(n), bool)
+            if len(left) and len(right):
+                ok = may_link([packed[x] for x in left], n[left], [packed[x] for x in right], n[right], bound)
+                if i == j:
+                    np.fill_diagonal(ok, False)
+                keep[left[ok.any(axis=1)]] = True
+                keep[right[ok.any(axis=0)]] = True
+            return part.filter(pa.array(keep)).drop_columns(["n", "parities"])
+
+        places = "part1 bigint, cut1 bigint, part2 bigint, cut2 bigint, part bigint, cut bigint"
+        kept = work.groupBy("family", "part1", "cut1", "part2", "cut2").applyInArrow(pick, f"id bigint, name binary, family bigint, {places}")
+        cell = _cell(*[F.col(c) for c in ("part1", "cut1", "part2", "cut2")])
+        return kept.select("id", "name", "family", F.struct("part", "cut").alias("own"), cell.alias("cell"))
+
     def all_pairs(self, rows: DataFrame, block: int, block_cells: int) -> DataFrame:
         """Links of all rows of a family (``id``, ``name``, ``family``, ``level``, ``n``, ``kind``), but none between rows of kind 1.
 
@@ -278,7 +329,8 @@ class Product:
         ]
         others = [_with_blocks_of(part - d, lambda to, x: _cell(to, x, part, own)) for d in (-1, 1, 3)]
         cells = F.when(F.col("kind") == 0, F.concat(*meets)).otherwise(F.concat(*others))
-        return self.links(numbers.select("id", "name", "family", F.struct("part", "cut").alias("own"), F.explode(cells).alias("cell")))
+        tasks = numbers.select("id", "name", "family", F.struct("part", "cut").alias("own"), F.explode(cells).alias("cell"))
+        return self.links(self.promising(tasks))
 
     def blocks_alone(self, rows: DataFrame, block: int, block_cells: int) -> DataFrame:
         """Links inside blocks, and of every block's rows with ``PIVOTS`` rows of each neighbouring part of the family."""
@@ -353,9 +405,10 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
         return {
             "name": [row_name(x) for x in found], "n": [len(x) for x in found], "level": [bound.level(len(x)) for x in found],
             "signs": [signatures(x, bound).view(np.int64) for x in found], "shingles": [x.tobytes() for x in found],
+            "parities": [parities(x) for x in found],
         }
 
-    schema = "name binary, n bigint, level bigint, signs array<bigint>, shingles binary"
+    schema = "name binary, n bigint, level bigint, signs array<bigint>, shingles binary, parities binary"
     # kept ids grow with the table, so they are no side to broadcast
     again = map_texts(source.join(kept.hint("merge"), "id"), "text", schema, sets, ["id"]).join(of_set, ["id", "name"], "left_semi")
     if nameless is not None:
@@ -375,14 +428,9 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
         discard(kept, *([] if all_links else [again]))
         return rows, firsts, links
 
-    # What is linked by now is one component. Pairs of two components are compared where rows of both share a signature.
+    # What is linked by now is one component. Pairs of two components are compared.
     joined = connected_components(links).select(F.col("node").alias("id"), "component")
-    undecided = large.drop("family", "kind").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    spread = undecided.select("id", "name", "component").join(again.select("id", "name", "signs"), ["id", "name"])
-    spread = spread.select("id", "component", F.explode("signs").alias("sign"))
-    met = spread.groupBy("sign").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("sign")
-    family = _families(_numbers(materialize(spread.join(met, "sign").select("id", "sign")), "id", "sign"))
-    undecided = materialize(undecided.join(family, "id"))
+    undecided = materialize(large.drop("kind").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")))
     sizes = undecided.groupBy("family", "component").agg(F.count("*").alias("rows"))
     main = sizes.groupBy("family").agg(F.max_by("component", F.struct("rows", "component")).alias("main"))
     undecided = undecided.join(main, "family").withColumn("kind", (F.col("component") == F.col("main")).cast("int"))
