@@ -143,3 +143,22 @@ def test_quality_of_held_out_texts(tables, docs, nothing):
     assert op6.score(nothing, model).count() == 0
     none = op6.train(rows, labels.limit(0), F.lit(True))
     assert {r.score for r in op6.score(docs, none).collect()} == {0.5}
+
+
+def test_quality_learns_from_every_labelled_text(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 4 > 0), rng.normal(0.6 if i % 4 else -0.6, 1, len(op6.FEATURES)).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, label int, features array<double>")
+    pairs = op6.dealt(df, {0: 100, 1: 300}).collect()
+    own = {label: {tuple(x) for _, y, x in rows if y == label} for label in (0, 1)}
+    assert len(pairs) == 300 * op6.ROUNDS
+    assert {tuple(r.good) for r in pairs} == own[1] and {tuple(r.bad) for r in pairs} == own[0]
+    model = op6.fit_rows(df, 0.25)
+    x, y = np.array([r[2] for r in rows]), np.array([r[1] for r in rows])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0) + 1e-3)
+    strength = model.strength(x)
+    ordered = np.sort(strength)
+    assert model.threshold == pytest.approx((ordered[99] + ordered[100]) / 2)
+    assert model.steepness == pytest.approx(4 / (np.median(strength[y == 1]) - np.median(strength[y == 0])))
+    # texts beyond any bound on a class change the model
+    assert not np.allclose(op6.fit_rows(df.where("doc_id < 396"), 0.25).weights, model.weights)
