@@ -162,3 +162,21 @@ def test_quality_learns_from_every_labelled_text(spark):
     assert model.steepness == pytest.approx(4 / (np.median(strength[y == 1]) - np.median(strength[y == 0])))
     # texts beyond any bound on a class change the model
     assert not np.allclose(op6.fit_rows(df.where("doc_id < 396"), 0.25).weights, model.weights)
+
+
+def test_quality_moves_features_not_texts(spark, tables, monkeypatch):
+    """The join with the labels lies above the description of the texts, whose shuffle it would else be."""
+    plans, store = [], op6.materialize
+    monkeypatch.setattr(op6, "materialize", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or store(df))
+    op6.train(*tables, ~in_fold(F.col("doc_id"), 3, 1))
+    assert plans[0].index("Join") < plans[0].index("MapInArrow")
+
+
+def test_quality_takes_repeated_rows_and_drops_missing_ids(spark, monkeypatch):
+    stored, store = [], op6.materialize
+    monkeypatch.setattr(op6, "materialize", lambda df: stored.append(store(df)) or stored[-1])
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, None), (2, "c"), (3, "d"), (None, "e"), (4, "f")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, None), (None, 1), (4, 1), (9, 0)], "doc_id long, quality int")
+    op6.train(docs, labels, F.col("doc_id") != 4)
+    wanted = [(1, 1, op6.describe("a b"))] * 2 + [(1, 1, op6.describe(None)), (2, 0, op6.describe("c"))]
+    assert sorted(tuple(r) for r in stored[0].collect()) == sorted(wanted)

@@ -223,7 +223,9 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column) -> Ranker:
     """Fit on all labelled texts; ``keep`` says which labelled ids may be used."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & keep)
     one = known.groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("label")).where(F.col("label").isin(0, 1))
-    rows = materialize(features(docs.select("doc_id", "text").join(one, "doc_id"), keep=["doc_id", "label"]))
+    # described where they lie: what the join moves is a text's features, not the text
+    found = features(docs.where(F.col("doc_id").isNotNull() & keep).select("doc_id", "text"), keep=["doc_id"])
+    rows = materialize(found.join(one, "doc_id").select("doc_id", "label", "features"))
     bad = labels.where(F.col("quality").isNotNull() & keep).agg(F.avg((F.col("quality") == 0).cast("double")).alias("s")).first()["s"]
     return fit_rows(rows, float(bad or 0.0))
 
