@@ -32,7 +32,7 @@ from wattline.llm.op5_language_id import UNKNOWN, identify
 from wattline.llm.op5_language_id import train as train_language
 from wattline.llm.op8_ngram_jaccard import components
 from wattline.llm.op10_sentencepiece import encode
-from wattline.session import materialize
+from wattline.session import drop_shuffles, materialize
 
 
 def _learn() -> Column:
@@ -66,7 +66,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     found = components(docs.select(own.alias("__key"), "text"), "__key", "text", percent=80, width=5).select(F.col("id").alias("__key"), "component")
     ids = docs.select(own.alias("__key"), "doc_id").distinct()
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__key"))
-    first = found.distinct().join(ids, "__key").groupBy("component").agg(smallest.alias("x")).select("x.__key")
+    first = materialize(found.distinct().join(ids, "__key").groupBy("component").agg(smallest.alias("x")).select("x.__key"))
+    drop_shuffles(spark)
     return docs.withColumn("__key", own).join(first, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
 
 

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from wattline.llm import op8_ngram_jaccard as op8
 from wattline.llm.components import connected_components
 from wattline.llm.op8_ngram_jaccard import Bound, block_links, components, link_sets, may_link, parities, shingle_sets, signatures
 
@@ -197,3 +198,20 @@ def test_parities_never_hide_a_link():
         linked = bound.linked(shared, n[:, None], n[None, :])
         assert not (linked & ~ok).any() and linked.sum() > len(sets)
     assert ok.sum() < 0.7 * ok.size
+
+
+def test_fronts_and_sets_are_shuffled_once(spark, rows, monkeypatch):
+    """No stored step filters its fronts by a semi-join more than once, and none filters finished sets by one."""
+    plans, store = [], op8.materialize
+    monkeypatch.setattr(op8, "materialize", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or store(df))
+    link_sets(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text")
+    assert len(plans) > 3 and max(p.count("LeftSemi") for p in plans) == 1
+    assert [p.count("LeftSemi") for p in plans if "signs#" in p and "MapInArrow" in p] == [0]
+
+
+def test_one_set_of_many_writings_and_many_sets_of_one_id(spark):
+    one, two = "a b c d e f g h i j k l m n o p q r s t u v", "k1 k2 k3 k4 k5 k6 k7 k8 k9 l1 l2 l3 l4 l5 l6 l7 l8 l9 m1 m2 m3 m4"
+    rows = [(7, one), (7, one.upper()), (7, one.replace(" ", "\t")), (7, two), (7, two), (8, one + " w"), (9, two + " w"), (10, "z z z z"), (None, two + " w x")]
+    found = components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r.id or 0, r.n_shingles, r.component) for r in found.collect()) == [
+        (0, 22, 7), *[(7, 20, 7)] * 5, (8, 21, 7), (9, 21, 7), (10, 1, 10)]

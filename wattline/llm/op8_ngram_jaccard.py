@@ -369,13 +369,14 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     """
     bound = Bound(percent)
     source = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    marked = source.withColumn("mark", F.xxhash64("text"))
 
     def describe(texts):
         sets = shingle_sets(texts, width)
         fronts = [x[: bound.front(len(x))].view(np.int64) for x in sets]
         return {"n": [len(x) for x in sets], "name": [row_name(x) for x in sets], "front": fronts, "needed": [bound.needed(len(x)) for x in sets]}
 
-    described = materialize(map_texts(source, "text", "n bigint, name binary, front array<bigint>, needed bigint", describe, ["id"]))
+    described = materialize(map_texts(marked, "text", "n bigint, name binary, front array<bigint>, needed bigint", describe, ["id", "mark"]))
     rows = materialize(described.select("id", "n", "name"))
     firsts = materialize(rows.where("n > 0").groupBy("name").agg(F.min("id").alias("first"), F.count("*").alias("rows")))
     nameless = firsts.where("first IS NULL")
@@ -385,19 +386,24 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
         nameless = materialize(nameless.select("name", below.alias("first"), "rows"))
         firsts = materialize(firsts.where("first IS NOT NULL").unionByName(nameless))
     of_set = firsts.select(F.col("first").alias("id"), "name")
-    once = described.where("n > 0").select("name", "needed", "front", "id")
+    once = described.where("n > 0").select("name", "needed", "front", "id", "mark")
     named = once.join(of_set, ["id", "name"], "left_semi")
     if nameless is not None:
         named = named.unionByName(once.where("id IS NULL").drop("id").join(of_set, "name").where(F.col("id") < _lowest(rows)))
+    # fronts are read twice, and shuffled once
+    named = materialize(named)
 
     # Fronts are compared by so many leading bits that few differ and agree: agreeing by chance only keeps a row more.
     total = described.agg(F.sum(F.size("front")).alias("s")).first()["s"] or 1
     drop = max(0, 64 - max(32, int(total).bit_length() + 7))
+    discard(described)
+    drop_shuffles(df.sparkSession)
     fronts = named.select("id", "needed", F.explode("front").alias("x")).select("id", "needed", F.shiftright("x", drop).alias("x"))
     shared = fronts.groupBy("x").agg(F.count("*").alias("c")).where("c > 1").select("x")
     kept = fronts.join(shared, "x").groupBy("id", "needed").agg(F.count("*").alias("c")).where("c >= needed").select("id")
-    kept = materialize(kept.distinct())
-    discard(described)
+    # a kept set with one of the texts it is made of
+    kept = materialize(named.join(kept.distinct(), "id").groupBy("id", F.col("name").alias("of")).agg(F.min("mark").alias("mark")))
+    discard(named)
     drop_shuffles(df.sparkSession)
 
     def sets(texts):
@@ -410,7 +416,7 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
 
     schema = "name binary, n bigint, level bigint, signs array<bigint>, shingles binary, parities binary"
     # kept ids grow with the table, so they are no side to broadcast
-    again = map_texts(source.join(kept.hint("merge"), "id"), "text", schema, sets, ["id"]).join(of_set, ["id", "name"], "left_semi")
+    again = map_texts(marked.join(kept.hint("merge"), ["id", "mark"]), "text", schema, sets, ["id", "of"]).where("name = of").drop("of")
     if nameless is not None:
         others = map_texts(source.where("id IS NULL"), "text", schema, sets, ["id"]).drop("id").join(nameless.select("name", F.col("first").alias("id")), "name")
         again = again.unionByName(others.join(kept, "id", "left_semi"))
@@ -424,6 +430,7 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     family = _families(_numbers(again.select("id", F.explode("signs").alias("sign")), "id", "sign"))
     drop_shuffles(df.sparkSession)
     links, large = product.links_of(narrow.join(family, "id").withColumn("kind", F.lit(0)), block, block_cells, all_links)
+    drop_shuffles(df.sparkSession)
     if all_links or large.isEmpty():
         discard(kept, *([] if all_links else [again]))
         return rows, firsts, links
@@ -437,6 +444,7 @@ def link_sets(df: DataFrame, key: str, text: str, percent: int = 90, width: int
     more, _ = product.links_of(undecided.drop("component", "main"), block, block_cells, True)
     links = materialize(links.unionByName(more).distinct())
     discard(kept, again)
+    drop_shuffles(df.sparkSession)
     return rows, firsts, links
 
 
