@@ -61,3 +61,18 @@ def test_ridge_of_many_sites(spark):
         for row in inputs:
             assert own[row[1], row[2]] == pytest.approx(max(0.0, row @ line), rel=1e-6)
     assert [r.predicted for r in found if r.site_id == 9000 or r.a is None] == [None, None]
+
+
+def test_boosted_trees_store_no_node_of_a_row(spark):
+    """The same trees as with a stored node per row and level, and bins for all values of a categorical input."""
+    rng = np.random.default_rng(3)
+    rows = [(i % 150 if i % 11 else None, i % 2, float(i % 24), float(rng.normal()) + 10 * (i % 24 > 11) + i % 150) for i in range(3000)]
+    df = spark.createDataFrame(rows, "site_id int, meter int, hour double, meter_reading double")
+    cfg = models.BoosterSettings(rounds=3, max_depth=4, stopping_fraction=0.0)
+    found = models.fit_boosted_trees(df, df, cfg).model.stages[-1]
+    assert not found.getCacheNodeIds() and found.getMaxBins() == 152
+    stored = models.training_vectors(df, models.CATEGORICAL).rows
+    again = models.GBTRegressor(
+        labelCol="meter_reading", maxDepth=4, maxIter=3, stepSize=cfg.step_size, subsamplingRate=cfg.row_fraction, featureSubsetStrategy="0.8",
+        minInstancesPerNode=cfg.min_rows_per_leaf, maxBins=152, seed=cfg.seed, cacheNodeIds=True).fit(stored)
+    assert found.toDebugString.split("\n", 1)[1] == again.toDebugString.split("\n", 1)[1]
