@@ -1,9 +1,13 @@
 """The pipeline's decisions against the operators' own results, and odd tables through all stages."""
 
 import corpus_pipeline as C
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wattline.llm import op5_language_id as L
+from wattline.llm.common import map_texts
+
 
 @pytest.fixture(scope="module")
 def stages(spark, small):
@@ -88,3 +92,42 @@ def test_texts_in_several_languages_stay(spark, small):
     rows = docs.unionByName(mixed, allowMissingColumns=True)
     kept = {r.doc_id for r in C.language_id(spark, rows, small).where("doc_id >= 1000000000").collect()}
     assert len(parts) > 2 and kept == {10**9}
+
+
+def test_workers_get_the_texts_in_small_batches(spark, small):
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    C.table(spark, small, "documents")
+    texts = spark.range(0, 600, 1, 1).select("id", F.repeat(F.lit("word "), 10_000).alias("text"))
+    found = texts.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+    assert sum(r.rows for r in found) == 600
+    assert max(r.bytes for r in found) < 2 << 20
+
+
+def test_a_limit_of_the_session_is_kept(spark, small):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    C.table(spark, small, "documents")
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "3000000")
+        C.table(spark, small, "documents")
+        assert spark.conf.get(key).startswith("3000000")
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_features_are_held_in_lots(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(1, 12, 2 * L.LOT + 5)]
+    weights = rng.random((L.BUCKETS, 3)).astype(np.float32)
+    slots, begins = L.features(words)
+    counts = np.diff(np.append(begins, slots.size))
+    at_once = np.add.reduceat(weights[slots], begins, axis=0) / counts[:, None]
+    sizes = []
+    monkeypatch.setattr(L, "features", lambda own, real=L.features: sizes.append(len(own)) or real(own))
+    assert (L.emissions(words, weights) == at_once).all()
+    assert sizes == [L.LOT, L.LOT, 5]

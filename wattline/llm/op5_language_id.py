@@ -27,6 +27,8 @@ from wattline.llm.common import map_texts
 WORDS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 17
 BLOCK = 32
+#: Words whose features are held at once.
+LOT = 4096
 UNKNOWN = "und"
 
 
@@ -66,9 +68,12 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def emissions(words: list[str], weights: np.ndarray) -> np.ndarray:
-    slots, begins = features(words)
-    counts = np.diff(np.append(begins, slots.size))
-    return np.add.reduceat(weights[slots], begins, axis=0) / counts[:, None]
+    found = []
+    for at in range(0, len(words), LOT):
+        slots, begins = features(words[at : at + LOT])
+        counts = np.diff(np.append(begins, slots.size))
+        found.append(np.add.reduceat(weights[slots], begins, axis=0) / counts[:, None])
+    return np.concatenate(found)
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
