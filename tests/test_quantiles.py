@@ -51,3 +51,22 @@ def test_no_value_is_shuffled(spark, rows, small_groups):
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert exchanges and not any("_value" in line or "_code" in line for line in exchanges)
     assert group_quantiles(rows.limit(0), "v", {"half": 0.5}, ["k"]).count() == 0
+
+
+def test_codes_are_stored_once_and_short_groups_are_not_looked_for(spark, rows, small_groups, monkeypatch):
+    """Every pass reads stored codes; a table of long groups only is selected as a whole; few rows left end the passes."""
+    from wattline.functions import quantiles
+
+    stored, discarded = [], []
+    monkeypatch.setattr(quantiles, "materialize", lambda df, f=quantiles.materialize: stored.append(df.columns) or f(df))
+    monkeypatch.setattr(quantiles, "discard", lambda df, f=quantiles.discard: discarded.append(df.columns) or f(df))
+    long = rows.where("k IS NULL OR k < 3")
+    for limit, passes in ((1_000_000, 2), (0, 4)):
+        stored.clear(), discarded.clear()
+        monkeypatch.setattr(quantiles, "LAST_ROWS", limit)
+        found = group_quantiles(long, "v", {"half": 0.5}, ["k"])
+        assert stored == [["k", "_code"]] + [["k", "_prefix", "_count", "_asks"]] * passes and discarded == [["k", "_code"]]
+        assert "ObjectHashAggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert "percentile" not in found._jdf.queryExecution().optimizedPlan().toString()
+        plain = {r.k: r.half for r in long.groupBy("k").agg(F.percentile("v", F.lit(0.5)).alias("half")).collect()}
+        assert {r.k: r.half for r in found.collect()} == pytest.approx(plain, rel=1e-14)

@@ -68,3 +68,19 @@ def test_dimensions_join_a_stored_series(spark):
     buildings = spark.createDataFrame([(1, 0, 5.0)], "building_id int, site_id int, log_square_feet double")
     weather = spark.createDataFrame([(0, START, 1.0, 2.0)], "site_id int, timestamp timestamp_ntz, air_temperature double, dew_temperature double")
     assert "Window" not in plan(jobs.feature_table(rows, buildings, weather))
+
+
+def test_exploration_stores_what_its_tables_read(spark, monkeypatch, tmp_path):
+    """One selection serves the medians and the caps per meter, and no column is stored that no table reads."""
+    asked, stored = [], []
+    monkeypatch.setattr(explore, "group_quantiles", lambda *a, f=explore.group_quantiles: asked.append((a[2], a[3])) or f(*a))
+    monkeypatch.setattr(jobs, "materialize", lambda df, f=jobs.materialize: stored.append(df.columns) or f(df))
+    rows = readings(spark, hours(range(1, 61)) + hours([5, None, 7] * 20, building=2, meter=1) + hours([4] * 9, building=3, meter=9))
+    buildings = spark.createDataFrame([(b, b % 2, "Office", 100.0) for b in (1, 2, 3)], "building_id int, site_id int, primary_use string, square_feet double")
+    weather = spark.createDataFrame([(0, START, 1.0, 2.0, 3.0)], "site_id int, timestamp timestamp_ntz, air_temperature double, dew_temperature double, wind_speed double")
+    tables = jobs.explore_job(rows, buildings, weather)
+    assert asked == [({"median": 0.5, "_cap": 0.99}, ["meter"]), ({"median_reading": 0.5}, ["site_id"])]
+    assert not {"primary_use", "square_feet"} & set(stored[0])
+    df = jobs.load_dataset(rows, buildings, weather)
+    for name, plain in (("meter_distribution", explore.meter_distribution(df)), ("reading_histogram", explore.clipped_histogram(df))):
+        assert sorted(map(repr, tables[name].collect())) == sorted(map(repr, plain.collect()))
